@@ -21,8 +21,14 @@ from ..operators.dedup import with_dedup_key
 
 def stream_dedup(rows: DataFrame, ts_col: str = "scraped_at", delay: str = "60 seconds",
                  keys: Sequence[str] = ("dedup_key",)) -> DataFrame:
-    """Streaming (or batch) rows -> rows whose key was not seen within `delay`."""
+    """Streaming (or batch) rows -> rows whose key was not seen within `delay`.
+
+    A batch DataFrame is one micro-batch with no watermark progress, so it
+    keeps one row per key (`dropDuplicates`).
+    """
     if "dedup_key" not in rows.columns:
         rows = with_dedup_key(rows, ts=None)
     rows = rows.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    if not rows.isStreaming:
+        return rows.dropDuplicates(list(keys))
     return rows.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))

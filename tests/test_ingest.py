@@ -1,0 +1,61 @@
+"""Message parsing, quarantine, envelope round trip (fixture in FIXTURES.md §5)."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from jobtide import operators as O
+from jobtide import sources as S
+
+STREAM_LINES = [
+    '{"jobId":"1","title":"T 1","url":"u","skill":"a, b","createdAt":[2025,7,1,9,30,5,123456789],"source":"X"}',
+    '{"jobId":"2","title":"T 2","url":"u","skill":"a, b","createdAt":[2025,7,1,9,30],"source":"X"}',
+    '{"jobId":null,"title":"T","url":"u","skill":"a, b","createdAt":[2025,7,1,9,30,5],"source":"X"}',
+    '{bad',
+    '{"jobId":"1","title":"T 1","url":"u","skill":"a, b","createdAt":[2025,7,1,9,30,6],"source":"X"}',
+]
+
+
+def messages(spark, lines=STREAM_LINES):
+    return spark.createDataFrame([(bytearray(s, "utf-8"),) for s in lines], "value binary")
+
+
+def test_parse_keeps_three_rows(spark):
+    rows = O.parse_records(messages(spark)).orderBy("scraped_at", "job_id").collect()
+    assert [r.job_id for r in rows] == ["2", "1", "1"]
+    assert rows[0].scraped_at == dt.datetime(2025, 7, 1, 9, 30, 0)
+    assert rows[1].scraped_at == dt.datetime(2025, 7, 1, 9, 30, 5)
+    assert rows[0].skill == ["a", "b"]
+
+
+def test_parse_schema_matches_lake(spark):
+    from jobtide.schema import LAKE_COLUMNS
+    assert O.parse_records(messages(spark)).columns == LAKE_COLUMNS
+
+
+def test_strict_seconds_parity(spark):
+    rows = O.parse_records(messages(spark), strict_seconds=True).filter("job_id = '2'").collect()
+    assert rows[0].scraped_at is None
+
+
+def test_quarantine_null_key(spark):
+    lake = O.parse_records(messages(spark, STREAM_LINES + [
+        '{"jobId":"9","title":"T","url":"u","createdAt":[2025,7,1,9,30,5]}']))
+    good, bad = O.split_quarantine(lake)
+    assert good.count() == 3 and [r.job_id for r in bad.collect()] == ["9"]
+
+
+def test_row_count_observation(spark):
+    df, obs = O.with_row_count(O.parse_records(messages(spark)))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 3
+
+
+def test_envelope_round_trip(spark):
+    jobs = S.jobs(spark, "/root/testdata/sf0.001")
+    env = O.publish_envelope(S.jobs_as_records(jobs))
+    first = env.first()
+    assert '"company":' in first.value and '"createdAt":[' in first.value
+    back = O.parse_records(env).select("job_id", "title", "source", "scraped_at")
+    want = S.jobs_as_lake(jobs).select("job_id", "title", "source", "scraped_at")
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
