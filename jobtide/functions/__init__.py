@@ -4,13 +4,13 @@ from .dates import (first_int, format_wire_date, mart_date, mdy_text, mdy_text_f
                     parse_wire_date, relative_expiry, timestamp_from_parts, timestamp_text,
                     timestamp_to_parts)
 from .html import extract_all_text, extract_field, nth_item, url_host, url_page
-from .salary import salary_parse
+from .salary import normalize_text, with_salary_columns
 from .text import (category_clean, collapse_ws, contains_any, dedup_key, java_trim, nfc,
                    skill_join, skill_split, stable_id)
 
 __all__ = [
     "category_clean", "collapse_ws", "contains_any", "dedup_key", "java_trim", "nfc",
-    "skill_join", "skill_split", "stable_id", "salary_parse",
+    "skill_join", "skill_split", "stable_id", "normalize_text", "with_salary_columns",
     "first_int", "format_wire_date", "mart_date", "mdy_text", "mdy_text_from_iso",
     "parse_wire_date", "relative_expiry", "timestamp_from_parts", "timestamp_text",
     "timestamp_to_parts",

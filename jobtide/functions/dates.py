@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, java_trim
+from .text import _c
 
 # Fixed values that must equal the source system's formats and words.
 WIRE_DATE_FORMAT = "dd/MM/yyyy"
@@ -109,7 +109,7 @@ def relative_expiry(posted: Column | str, text: Column | str) -> Column:
     """
     p = F.to_date(_c(posted))
     raw = _c(text)
-    t = java_trim(F.lower(raw))
+    t = F.lower(raw)  # trimming cannot change a word or digit test
     n = first_int(t)
     return F.when(p.isNull() | raw.isNull() | (raw == F.lit("")), F.lit(None).cast("date")) \
         .when(t.contains(UNIT_DAY), F.date_add(p, n)) \

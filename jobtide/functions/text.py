@@ -19,6 +19,7 @@ SKILL_SEPARATOR = r",\s*"
 # A Java String.trim() strips every char <= U+0020 at both ends;
 # Spark's trim() strips spaces only.
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_FIRST_CATEGORY_TOKEN = r"^[>/,|\-\x00-\x20]*([^>/,|\-]*)"
 
 
 def _c(col: Column | str) -> Column:
@@ -61,11 +62,10 @@ def category_clean(col: Column | str) -> Column:
     lower -> split on > / , | - -> trim each token -> drop empties -> first.
     null, empty or no token -> null.
     """
-    col = _c(col)
-    tokens = F.split(F.lower(col), CATEGORY_SEPARATORS)
-    kept = F.filter(F.transform(tokens, java_trim), lambda t: t != F.lit(""))
-    return F.when(col.isNull() | (col == F.lit("")), F.lit(None).cast("string")) \
-        .otherwise(F.get(kept, 0))
+    # One regex: skip separators and blanks (empty tokens), take the first
+    # token up to the next separator, strip its trailing blanks.
+    first = F.regexp_extract(F.lower(_c(col)), _FIRST_CATEGORY_TOKEN, 1)
+    return F.nullif(java_trim(first), F.lit(""))
 
 
 def skill_split(col: Column | str) -> Column:

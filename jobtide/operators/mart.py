@@ -29,19 +29,19 @@ def negotiable_filter(df: DataFrame, col: str = "salary",
 def with_salary(df: DataFrame, col: str = "salary", million_only_if_marked: bool = False,
                 prefix: str = "") -> DataFrame:
     """Add low/high/avg/unit salary columns from the free-text salary."""
-    s = J.salary_parse(col, million_only_if_marked)
-    return df.withColumns({f"{prefix}low": s["low"], f"{prefix}high": s["high"],
-                           f"{prefix}avg": s["avg"], f"{prefix}unit": s["unit"]})
+    names = tuple(f"{prefix}{n}" for n in ("low", "high", "avg", "unit"))
+    return J.with_salary_columns(df, col, million_only_if_marked, names)
 
 
 def mart_clean(lake: DataFrame, million_only_if_marked: bool = False) -> DataFrame:
     """Lake rows -> the 13 mart columns in table order."""
     kept = negotiable_filter(lake)
-    s = J.salary_parse("salary", million_only_if_marked)
-    return kept.select(
+    parsed = J.with_salary_columns(kept, "salary", million_only_if_marked,
+                                   ("__low", "__high", "__avg", "__unit"))
+    return parsed.select(
         "job_id", "title", "company", "location",
-        s["avg"].alias("salary"),
-        s["unit"].alias("salaryunit"),
+        F.col("__avg").alias("salary"),
+        F.col("__unit").alias("salaryunit"),
         J.category_clean("category").alias("category"),
         J.mart_date("expired_at").alias("expired_at"),
         J.mart_date("posted_at").alias("posted_at"),

@@ -31,9 +31,9 @@ def category_count(df: DataFrame, col: str = "category", clean: bool = True) ->
 
 def category_salary(df: DataFrame, million_only_if_marked: bool = False) -> DataFrame:
     """Postings per clean category with the average parsed salary and its unit."""
-    s = J.salary_parse("salary", million_only_if_marked)
-    return (df.select(J.category_clean("category").alias("category"),
-                      s["avg"].alias("avg"), s["unit"].alias("unit"))
+    parsed = J.with_salary_columns(df.select("category", "salary"), "salary",
+                                   million_only_if_marked, ("low", "high", "avg", "unit"))
+    return (parsed.select(J.category_clean("category").alias("category"), "avg", "unit")
             .groupBy("category", "unit")
             .agg(F.count(F.lit(1)).alias("postings"),
                  F.count("avg").alias("with_salary"),

@@ -25,11 +25,9 @@ GOLDEN = [
 @pytest.fixture(scope="module")
 def parsed(spark):
     df = spark.createDataFrame([(i, g[0]) for i, g in enumerate(GOLDEN)], "i int, s string")
-    p = J.salary_parse("s")
-    v = J.salary_parse("s", million_only_if_marked=True)
-    rows = df.select("i", p["low"], p["high"], p["avg"], p["unit"], v["avg"].alias("vavg")) \
-        .orderBy("i").collect()
-    return rows
+    p = J.with_salary_columns(df, "s")
+    v = J.with_salary_columns(p, "s", True, ("vlow", "vhigh", "vavg", "vunit"))
+    return v.select("i", "low", "high", "avg", "unit", "vavg").orderBy("i").collect()
 
 
 @pytest.mark.parametrize("i", range(len(GOLDEN)))
@@ -44,6 +42,14 @@ def test_marked_variant_avg(parsed, i):
 
 def test_parser_is_native(spark):
     """No Python UDF in the salary plan: it stays in whole-stage codegen."""
-    df = spark.createDataFrame([("15 Tr VND",)], "s string").select(J.salary_parse("s").alias("x"))
+    df = J.with_salary_columns(spark.createDataFrame([("15 Tr VND",)], "s string"), "s")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_each_regex_runs_once(spark):
+    """The normalized text is computed once, not inlined into every branch."""
+    df = J.with_salary_columns(spark.createDataFrame([("15 Tr VND",)], "s string"), "s")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(\\d+(\\.\\d+)?)[^\\d]+(\\d+(\\.\\d+)?), 1)") == 1
+    assert df.first()["avg"] == 15e6
