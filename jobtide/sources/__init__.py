@@ -3,8 +3,8 @@
 from .connectors import (jdbc_append, jdbc_query, kafka_publish, kafka_source_options, read,
                          read_stream, write)
 from .tables import (FIXTURE_MARK, JOBS_SQL, TABLES, jobs, jobs_as_lake, jobs_as_records,
-                     load_table, table_path)
+                     load_table, spread, table_path)
 
 __all__ = ["jdbc_append", "jdbc_query", "kafka_publish", "kafka_source_options", "read",
            "read_stream", "write", "FIXTURE_MARK", "JOBS_SQL", "TABLES", "jobs", "jobs_as_lake",
-           "jobs_as_records", "load_table", "table_path"]
+           "jobs_as_records", "load_table", "spread", "table_path"]

@@ -46,8 +46,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a DataFrame whose scan has fewer partitions than the cluster
+    has cores (e.g. one large row group), so row-wise work runs in parallel.
+
+    A no-op for big inputs, whose scans already have many splits; filters and
+    column pruning still reach the scan below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """One given table; small single-split files are spread over the cores."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if balance else df
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
