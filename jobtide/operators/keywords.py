@@ -6,7 +6,7 @@ computed corpus-wide as a Spark job, so the result is *not* what a language
 model would return.
 
 Plan shape (every document, every token, no sampling):
-  tokens    explode(split(lower(text))) with the document's token count
+  tokens    explode(split(lower(text))), tokens of 2+ chars
   tf        groupBy(doc, term).count        partial + final hash aggregate
   df        groupBy(term).count over tf     partial aggregate absorbs hot terms
   score     tf join df on term              adaptive execution splits skewed terms
@@ -27,23 +27,31 @@ SCORE_DIGITS = 9
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, term, n, doc_len): term counts per document over the whole text."""
-    toks = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT),
-                    lambda t: F.length(t) >= MIN_TOKEN_LEN)
-    exploded = (docs.select(F.col(id_col).alias("doc"), toks.alias("toks"))
-                .select("doc", F.size("toks").alias("doc_len"), F.explode("toks").alias("term")))
-    return exploded.groupBy("doc", "doc_len", "term").agg(F.count(F.lit(1)).alias("n"))
+    """(doc, term, n): term counts per document over the whole text.
+
+    Tokens are filtered after the explode, as plain rows inside codegen.
+    """
+    exploded = docs.select(F.col(id_col).alias("doc"),
+                           F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
+    return (exploded.filter(F.length("term") >= MIN_TOKEN_LEN)
+            .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n")))
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, term, score) with score = n/doc_len * ln(N/df)."""
+    """(doc, term, score) with score = n * ln(N / df).
+
+    n is the raw count of the term in the document (the document's length is
+    a constant factor within a document, so it cannot change a ranking).
+    """
     n_docs = docs.count()  # one number for the whole corpus
     tf = doc_terms(docs, id_col, text_col)
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # df = documents where the term occurs (n > 0). Reading `n` keeps both uses
+    # of `tf` identical, so the (doc, term) shuffle is computed once and reused:
+    # every document is tokenized once.
+    dfreq = tf.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
     return (tf.join(dfreq, "term")
             .select("doc", "term",
-                    ((F.col("n") / F.col("doc_len")) *
-                     F.log(F.lit(float(n_docs)) / F.col("df"))).alias("score")))
+                    (F.col("n") * F.log(F.lit(float(n_docs)) / F.col("df"))).alias("score")))
 
 
 def top_keywords(docs: DataFrame, k: int = 3, id_col: str = "doc_id",
@@ -55,11 +63,14 @@ def top_keywords(docs: DataFrame, k: int = 3, id_col: str = "doc_id",
     scored = tfidf(docs, id_col, text_col)
     w = Window.partitionBy("doc").orderBy(F.round("score", SCORE_DIGITS).desc(),
                                           F.col("term").asc())
-    top = scored.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
-    joined = (top.groupBy("doc")
-              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rk", "term"))),
-                                            lambda s: s["term"]), sep).alias("keywords")))
-    ids = docs.select(F.col(id_col).alias("doc"))
-    return (ids.join(joined, "doc", "left")
-            .select(F.col("doc").alias(id_col),
-                    F.coalesce(F.col("keywords"), F.lit("")).alias("keywords")))
+    top = (scored.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
+           .select("doc", "rk", "term"))
+    # Every document gets a row: union a term-less marker row per document and
+    # group (no join, so nothing is inferred into one branch only).
+    ids = docs.select(F.col(id_col).alias("doc"), F.lit(None).cast("int").alias("rk"),
+                      F.lit(None).cast("string").alias("term"))
+    picked = F.filter(F.array_sort(F.collect_list(F.struct("rk", "term"))),
+                      lambda s: s["term"].isNotNull())
+    return (top.unionByName(ids).groupBy("doc")
+            .agg(F.array_join(F.transform(picked, lambda s: s["term"]), sep).alias("keywords"))
+            .withColumnRenamed("doc", id_col))

@@ -291,11 +291,11 @@ WITH toks AS (
   SELECT doc_id AS doc,
          list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: length(t) >= 2) AS toks
   FROM documents),
-ex AS (SELECT doc, len(toks) AS doc_len, unnest(toks) AS term FROM toks),
-tf AS (SELECT doc, doc_len, term, count(*) AS n FROM ex GROUP BY doc, doc_len, term),
+ex AS (SELECT doc, unnest(toks) AS term FROM toks),
+tf AS (SELECT doc, term, count(*) AS n FROM ex GROUP BY doc, term),
 dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 nd AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs FROM documents),
-sc AS (SELECT tf.doc, tf.term, (CAST(tf.n AS DOUBLE) / tf.doc_len) * ln(nd.n_docs / dfq.df) AS score
+sc AS (SELECT tf.doc, tf.term, CAST(tf.n AS DOUBLE) * ln(nd.n_docs / dfq.df) AS score
        FROM tf JOIN dfq ON tf.term = dfq.term, nd),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY round(score, 9) DESC, term) AS rk FROM sc),
 kw AS (SELECT doc, string_agg(term, ', ' ORDER BY rk) AS keywords FROM rk WHERE rk <= 3 GROUP BY doc)

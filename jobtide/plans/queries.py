@@ -23,7 +23,7 @@ LISTING_MAX_PAGES = 5
 LISTING_PER_PAGE = 2
 KEYWORDS_PER_DOC = 3
 UPDATED_TITLE_SUFFIX = " (updated)"
-STREAM_FILES_PER_TRIGGER = 2
+STREAM_FILES_PER_TRIGGER = 4
 
 
 def _jobs(spark, sf_dir):

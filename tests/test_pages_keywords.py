@@ -54,7 +54,7 @@ def test_top_keywords_brute_force(spark):
     want = {}
     for d, ts in toks.items():
         c = Counter(ts)
-        sc = sorted(((-round(n / len(ts) * math.log(len(texts) / dfreq[t]), 9), t)
+        sc = sorted(((-round(n * math.log(len(texts) / dfreq[t]), 9), t)
                      for t, n in c.items()))
         want[d] = ", ".join(t for _, t in sc[:3])
     assert got == want
