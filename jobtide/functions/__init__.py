@@ -1,17 +1,17 @@
 """Column -> Column building blocks (built-in Spark expressions)."""
 
-from .dates import (first_int, format_wire_date, mart_date, mdy_text, mdy_text_from_iso,
+from .dates import (collected_now, first_int, format_wire_date, mart_date, mdy_text, mdy_text_from_iso,
                     parse_wire_date, relative_expiry, timestamp_from_parts, timestamp_text,
                     timestamp_to_parts)
 from .html import extract_all_text, extract_field, nth_item, url_host, url_page
 from .salary import normalize_text, with_salary_columns
 from .text import (category_clean, collapse_ws, contains_any, dedup_key, java_trim, nfc,
-                   skill_join, skill_split, stable_id)
+                   random_id, skill_join, skill_split, stable_id)
 
 __all__ = [
     "category_clean", "collapse_ws", "contains_any", "dedup_key", "java_trim", "nfc",
-    "skill_join", "skill_split", "stable_id", "normalize_text", "with_salary_columns",
-    "first_int", "format_wire_date", "mart_date", "mdy_text", "mdy_text_from_iso",
+    "random_id", "skill_join", "skill_split", "stable_id", "normalize_text", "with_salary_columns",
+    "collected_now", "first_int", "format_wire_date", "mart_date", "mdy_text", "mdy_text_from_iso",
     "parse_wire_date", "relative_expiry", "timestamp_from_parts", "timestamp_text",
     "timestamp_to_parts",
     "extract_all_text", "extract_field", "nth_item", "url_host", "url_page",

@@ -58,6 +58,12 @@ def timestamp_to_parts(col: Column | str) -> Column:
         .otherwise(base)
 
 
+def collected_now() -> Column:
+    """The collection time stamp in the producer's array form (whole query
+    uses one `current_timestamp()`, so every row of a run gets the same)."""
+    return timestamp_to_parts(F.current_timestamp())
+
+
 def parse_wire_date(col: Column | str) -> Column:
     """`dd/MM/yyyy` text -> timestamp; malformed or impossible dates -> null."""
     return F.try_to_timestamp(_c(col), F.lit(WIRE_DATE_FORMAT))

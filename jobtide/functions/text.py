@@ -94,3 +94,9 @@ def dedup_key(title: Column | str, url: Column | str) -> Column:
 def stable_id(key: Column | str) -> Column:
     """Deterministic posting id: SHA-256 hex of the dedup key."""
     return F.sha2(_c(key), 256)
+
+
+def random_id() -> Column:
+    """Random UUID per row (one collector's id scheme). Not stable across
+    recomputation -- prefer `stable_id` wherever a retry may recompute rows."""
+    return F.expr("uuid()")

@@ -53,10 +53,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A no-op for big inputs, whose scans already have many splits; filters and
     column pruning still reach the scan below the repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if have < target else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
