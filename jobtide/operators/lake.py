@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,18 +54,27 @@ def lake_layout(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
 
 def write_lake_batch(df: DataFrame, batch_id: int, lake_path: str,
-                     num_partitions: int | None = None) -> None:
+                     num_partitions: int | None = None, persist: bool = True) -> None:
     """Write one batch into its own folder (overwrite = idempotent replay).
 
     Rows with a null key column go to `<lake>/_quarantine/batch_id=N`, which
-    lake scans skip (leading underscore).
+    lake scans skip (leading underscore). The write passes over the batch three
+    times (quarantine check, range-bound sample, data), so by default the batch
+    is persisted (memory and disk) for the duration; a lost cached block is
+    recomputed from lineage.
     """
-    good, bad = split_quarantine(df)
-    (lake_layout(good, num_partitions).write.mode("overwrite")
-     .partitionBy(*PARTITION_COLUMNS)
-     .parquet(f"{lake_path}/batch_id={batch_id}"))
-    if not bad.isEmpty():
-        bad.write.mode("overwrite").parquet(f"{lake_path}/_quarantine/batch_id={batch_id}")
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = split_quarantine(df)
+        (lake_layout(good, num_partitions).write.mode("overwrite")
+         .partitionBy(*PARTITION_COLUMNS)
+         .parquet(f"{lake_path}/batch_id={batch_id}"))
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{lake_path}/_quarantine/batch_id={batch_id}")
+    finally:
+        if persist:
+            df.unpersist()
 
 
 def read_lake(spark: SparkSession, lake_path: str) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.ingest import parse_records, with_row_count
@@ -31,16 +30,11 @@ def parsed_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
 def lake_batch_writer(lake_path: str, num_partitions: int | None = None):
     """foreachBatch function: write the batch with a row-count observation."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        # The write reads the batch three times (range sample, data, quarantine
-        # check); keep it for the duration instead of re-reading the source.
-        # A lost cached block is recomputed from the batch's fixed offsets.
-        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            observed, obs = with_row_count(batch_df, f"ingest_batch_{batch_id}")
-            write_lake_batch(observed, batch_id, lake_path, num_partitions)
-            log.info("batch %s: %s rows", batch_id, obs.get.get("rows"))
-        finally:
-            batch_df.unpersist()
+        # write_lake_batch persists the batch for its passes; a lost cached
+        # block is recomputed from the batch's fixed source offsets.
+        observed, obs = with_row_count(batch_df, f"ingest_batch_{batch_id}")
+        write_lake_batch(observed, batch_id, lake_path, num_partitions)
+        log.info("batch %s: %s rows", batch_id, obs.get.get("rows"))
     return write
 
 
