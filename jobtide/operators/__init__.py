@@ -2,7 +2,7 @@
 
 from .dedup import dedup_batch, drop_seen, merge_sources, seen_keys, with_dedup_key
 from .incremental import (DEFAULT_MARK, high_water_mark, incremental_load, mark_value,
-                          run_incremental)
+                          parquet_mart_sink, run_incremental)
 from .ingest import (decode_value, parse_json, parse_records, split_quarantine, to_lake_rows,
                      with_row_count)
 from .keywords import doc_terms, tfidf, top_keywords
@@ -15,7 +15,8 @@ from .rollups import category_count, category_salary, count_by, location_count
 
 __all__ = [
     "dedup_batch", "drop_seen", "merge_sources", "seen_keys", "with_dedup_key",
-    "DEFAULT_MARK", "high_water_mark", "incremental_load", "mark_value", "run_incremental",
+    "DEFAULT_MARK", "high_water_mark", "incremental_load", "mark_value", "parquet_mart_sink",
+    "run_incremental",
     "decode_value", "parse_json", "parse_records", "split_quarantine", "to_lake_rows",
     "with_row_count", "doc_terms", "tfidf", "top_keywords",
     "PARTITION_COLUMNS", "lake_current", "lake_layout", "read_lake", "with_scraped_month",

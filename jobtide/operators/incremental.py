@@ -57,6 +57,21 @@ def incremental_load(lake: DataFrame, mark: dt.datetime | str, col: str = "scrap
     return out
 
 
+def parquet_mart_sink(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame], None]:
+    """Append mart rows to a parquet table.
+
+    Files become visible only when the whole job commits, so a run that dies
+    half-way leaves no rows behind and cannot move the next run's mark past
+    rows it never wrote (a non-transactional JDBC append can).
+    """
+    def sink(df: DataFrame) -> None:
+        w = df.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+    return sink
+
+
 def run_incremental(lake: DataFrame, mart_for_mark: DataFrame,
                     sink: Callable[[DataFrame], None],
                     million_only_if_marked: bool = False,

@@ -42,13 +42,19 @@ def page_fields(pages: DataFrame, html_col: str = "html") -> DataFrame:
     null; requirements: list items then paragraphs, joined with ', '.
     """
     html = F.col(html_col)
-    items = J.extract_all_text(html, J.html.LIST_ITEM)
-    paras = J.extract_all_text(html, J.html.PARAGRAPH)
-    return pages.select(
+    # Stage the repeated elements as columns: each pattern scans the page once
+    # (a column used several times is not inlined into each use).
+    staged = pages.select(
         "page_id",
         J.url_host("url").alias("host"),
         J.extract_field(html, J.html.H1, fallback=J.html.TITLE).alias("title"),
-        J.nth_item(html, J.html.LIST_ITEM, 2).alias("third_item"),
+        J.extract_all_text(html, J.html.LIST_ITEM).alias("_items"),
+        J.extract_all_text(html, J.html.PARAGRAPH).alias("_paras"),
+    )
+    items, paras = F.col("_items"), F.col("_paras")
+    return staged.select(
+        "page_id", "host", "title",
+        F.get(items, 2).alias("third_item"),
         F.size(items).cast("bigint").alias("n_items"),
         F.size(paras).cast("bigint").alias("n_paragraphs"),
         F.array_join(F.concat(items, paras), ", ").alias("requirements"),

@@ -47,7 +47,7 @@ def test_run_incremental_appends_once(spark, tmp_dir):
     lake_path, mart_path = f"{tmp_dir}/lake", f"{tmp_dir}/mart"
     lake = S.jobs_as_lake(S.jobs(spark, SF))
     O.write_lake_batch(lake, 0, lake_path)
-    sink = lambda df: df.write.mode("append").parquet(mart_path)
+    sink = O.parquet_mart_sink(mart_path)
     seed = O.mart_clean(lake.filter(F.col("scraped_at") <= F.lit("1999-01-01").cast("timestamp")))
     seed.write.parquet(mart_path)
     n = O.run_incremental(O.read_lake(spark, lake_path), spark.read.parquet(mart_path), sink)

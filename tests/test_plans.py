@@ -45,3 +45,8 @@ def test_anti_join_plan(spark):
 def test_keywords_no_python(spark):
     p = plan_of(O.top_keywords(S.load_table(spark, SF, "documents")))
     assert "Python" not in p and "WindowGroupLimit" in p
+
+
+def test_page_patterns_scan_once(spark):
+    p = plan_of(O.page_fields(S.load_table(spark, SF, "pages")))
+    assert p.count("<li[^>]*>(.*?)</li>") == 1 and p.count("<p[^>]*>(.*?)</p>") == 1
