@@ -88,7 +88,9 @@ def dedup_key(title: Column | str, url: Column | str) -> Column:
     """
     t = collapse_ws(java_trim(F.lower(F.coalesce(_c(title), F.lit("")))))
     u = java_trim(F.lower(F.coalesce(_c(url), F.lit(""))))
-    return F.concat(F.lit("job:"), nfc(t), F.lit("::"), u)
+    # Provably non-null: no `isnotnull(key)` filter gets inferred from joins
+    # on the key (such a filter would re-run the UDF below a repartition).
+    return F.concat(F.lit("job:"), F.coalesce(nfc(t), F.lit("")), F.lit("::"), u)
 
 
 def stable_id(key: Column | str) -> Column:
