@@ -6,8 +6,8 @@ from .incremental import (DEFAULT_MARK, high_water_mark, incremental_load, mark_
 from .ingest import (decode_value, parse_json, parse_records, split_quarantine, to_lake_rows,
                      with_row_count)
 from .keywords import doc_terms, tfidf, top_keywords
-from .lake import (PARTITION_COLUMNS, lake_current, lake_layout, read_lake, with_scraped_month,
-                   write_lake_batch)
+from .lake import (PARTITION_COLUMNS, lake_current, lake_layout, read_current, read_lake,
+                   snapshot_current, with_scraped_month, write_lake_batch)
 from .mart import NEGOTIABLE_PHRASES, mart_clean, negotiable_filter, with_salary
 from .pages import cap_listing, cap_per_group, page_fields, with_listing_position
 from .publish import publish_envelope
@@ -19,7 +19,8 @@ __all__ = [
     "run_incremental",
     "decode_value", "parse_json", "parse_records", "split_quarantine", "to_lake_rows",
     "with_row_count", "doc_terms", "tfidf", "top_keywords",
-    "PARTITION_COLUMNS", "lake_current", "lake_layout", "read_lake", "with_scraped_month",
+    "PARTITION_COLUMNS", "lake_current", "lake_layout", "read_current", "read_lake",
+    "snapshot_current", "with_scraped_month",
     "write_lake_batch",
     "NEGOTIABLE_PHRASES", "mart_clean", "negotiable_filter", "with_salary",
     "cap_listing", "cap_per_group", "page_fields", "with_listing_position",

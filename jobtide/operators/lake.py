@@ -97,3 +97,33 @@ def lake_current(df: DataFrame, key: Sequence[str] = tuple(LAKE_KEY),
     out = df.groupBy(*key).agg(w)
     return out.select(*[F.col(k) for k in key], F.col(f"_w.{version}").alias(version),
                       *[F.col(f"_w.{c}").alias(c) for c in rest])
+
+
+def snapshot_current(spark: SparkSession, lake_path: str, snapshot_path: str,
+                     upto_batch: int) -> str:
+    """Compact: write the current view of batches <= upto_batch as a table.
+
+    Returns the snapshot folder. Later reads combine it with newer batches
+    only (`read_current`), so the upsert no longer re-reads the whole lake
+    history; the written table also cuts the lineage. Old batch folders can
+    then be expired by retention without changing any result.
+    """
+    lake = read_lake(spark, lake_path).filter(F.col("batch_id") <= upto_batch)
+    cur = lake_current(lake.drop("scraped_month"))
+    out = f"{snapshot_path}/upto={upto_batch}"
+    (lake_layout(cur).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(out))
+    return out
+
+
+def read_current(spark: SparkSession, lake_path: str, snapshot: str | None = None,
+                 upto_batch: int | None = None) -> DataFrame:
+    """Current view = last write wins over (snapshot + batches after it).
+
+    The `batch_id > upto_batch` filter prunes the older batch folders.
+    """
+    batches = read_lake(spark, lake_path).drop("scraped_month")
+    if snapshot is None:
+        return lake_current(batches)
+    newer = batches.filter(F.col("batch_id") > F.lit(upto_batch))
+    base = spark.read.parquet(snapshot).drop("scraped_month")
+    return lake_current(base.unionByName(newer.select(*base.columns)))
