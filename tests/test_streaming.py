@@ -66,3 +66,16 @@ def test_stream_dedup_batch_brute_force(spark):
     # A batch DataFrame keeps one row per key (no watermark progress).
     assert len(got) == len({k for k, _ in pairs}) == len({k for k, _ in got})
     assert set(got) <= pairs
+
+
+def test_processing_time_trigger_bounded_run(spark, tmp_dir):
+    """Trigger every second, stop after a fixed time whether caught up or not."""
+    import time
+    src, lake, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
+    write_lines(src, STREAM_LINES, "a.json")
+    t0 = time.time()
+    ST.stream_ingest(spark, "text", {}, lake, ckpt, path=src, processing_time="1 second",
+                     available_now=False, timeout_s=6)
+    assert time.time() - t0 < 60
+    assert O.read_lake(spark, lake).count() == 3
+    assert not [q for q in spark.streams.active]  # stopped on the way out
