@@ -24,20 +24,26 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+# Always: no web UI server, no console progress bars.
+FIXED_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_spark(app_name: str = "jobtide", master: str | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session, or build one with the defaults above."""
+    """Return the active session, or build one; `extra_conf` always applies,
+    DEFAULT_CONF only for keys the cluster configuration does not set."""
+    extra_conf = dict(extra_conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(extra_conf or {})}.items():
+    for key, value in {**FIXED_CONF, **extra_conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key not in extra_conf and not cluster.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
