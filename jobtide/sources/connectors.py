@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Producer durability and batching of the source system.
+PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3",
+                    "kafka.batch.size": "16384", "kafka.linger.ms": "5"}
+
 
 def read(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None,
          path: str | None = None, schema: StructType | None = None) -> DataFrame:
@@ -88,13 +92,11 @@ def kafka_publish(envelope: DataFrame, bootstrap: str, topic: str,
                   extra_options: Mapping[str, str] | None = None) -> bool:
     """Publish a key/value envelope; an empty input is a no-op (returns False).
 
-    Producer durability follows the source system: acks=all, 3 retries.
+    Producer settings default to PRODUCER_OPTIONS; `extra_options` override.
     """
     if envelope.isEmpty():
         return False
-    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic,
-            "kafka.acks": "all", "kafka.retries": "3",
-            "kafka.batch.size": "16384", "kafka.linger.ms": "5"}
+    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic, **PRODUCER_OPTIONS}
     opts.update(dict(extra_options or {}))
     (envelope.select(F.col("key").cast("string"), F.col("value").cast("string"))
      .write.format("kafka").options(**opts).save())
