@@ -39,11 +39,20 @@ def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
 
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "earliest",
-                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = None,
+                         min_partitions: int | None = None) -> dict[str, str]:
+    """Options for a Kafka stream source.
+
+    A topic has few partitions (6 in the source system); `min_partitions`
+    splits offset ranges so a micro-batch is read by more tasks than that, and
+    `max_offsets_per_trigger` bounds each micro-batch.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 

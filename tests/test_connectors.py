@@ -23,9 +23,11 @@ def test_partitioned_write(spark, tmp_dir):
 
 
 def test_kafka_options_and_empty_publish(spark):
-    opts = S.kafka_source_options("host:9094", "job-topic", max_offsets_per_trigger=100)
+    opts = S.kafka_source_options("host:9094", "job-topic", max_offsets_per_trigger=100,
+                                  min_partitions=64)
     assert opts == {"kafka.bootstrap.servers": "host:9094", "subscribe": "job-topic",
-                    "startingOffsets": "earliest", "maxOffsetsPerTrigger": "100"}
+                    "startingOffsets": "earliest", "maxOffsetsPerTrigger": "100",
+                    "minPartitions": "64"}
     empty = spark.createDataFrame([], "key string, value string")
     assert S.kafka_publish(empty, "host:9094", "job-topic") is False  # no-op, no connection
 
