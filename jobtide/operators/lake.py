@@ -19,9 +19,11 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import LAKE_KEY
+from ..schema import LAKE_KEY, LAKE_SCHEMA
 from .ingest import split_quarantine
 
 # Partition folders first (ascending, as the file writer needs), then the
@@ -78,9 +80,21 @@ def write_lake_batch(df: DataFrame, batch_id: int, lake_path: str,
 
 
 def read_lake(spark: SparkSession, lake_path: str) -> DataFrame:
-    """All batches of the lake, with batch_id / source / scraped_month columns."""
-    return (spark.read.option("basePath", lake_path)
-            .parquet(f"{lake_path}/batch_id=*"))
+    """All batches of the lake, with batch_id / source / scraped_month columns.
+
+    A lake with no batch yet reads as empty (same columns), not as an error.
+    """
+    try:
+        return (spark.read.option("basePath", lake_path)
+                .parquet(f"{lake_path}/batch_id=*"))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        schema = T.StructType(
+            [f for f in LAKE_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
+            + [T.StructField("batch_id", T.IntegerType()), T.StructField("source", T.StringType()),
+               T.StructField("scraped_month", T.StringType())])
+        return spark.createDataFrame([], schema)
 
 
 def lake_current(df: DataFrame, key: Sequence[str] = tuple(LAKE_KEY),

@@ -66,3 +66,9 @@ def test_snapshot_then_newer_batches(spark, tmp_dir):
     assert a == b and len(a) == lake.count()
     plan = via_snapshot._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "batch_id" in plan
+
+
+def test_empty_lake_reads_empty(spark, tmp_dir):
+    empty = O.read_lake(spark, f"{tmp_dir}/nothing-here")
+    assert empty.count() == 0 and {"batch_id", "job_id", "scraped_at"} <= set(empty.columns)
+    assert O.lake_current(empty.drop("scraped_month")).count() == 0
