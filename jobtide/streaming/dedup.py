@@ -2,7 +2,9 @@
 
 `dropDuplicatesWithinWatermark` keeps the first row per key and holds the
 key in state until the event-time watermark passes its time plus the delay,
-so each key is suppressed for at least `delay` after its first arrival. The
+so each key is suppressed for at least `delay` after its first arrival.
+Expired keys are evicted at the end of a micro-batch that runs with the
+advanced watermark, so a repeat can be suppressed a little longer. The
 source system kept one day-wide set whose 60 s lifetime started at its first
 add and dropped all keys at once (a key could be suppressed for anywhere
 from 0 to 60 s); per-key expiry is used instead because one shared set is a

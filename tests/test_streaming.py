@@ -79,3 +79,23 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     assert time.time() - t0 < 60
     assert O.read_lake(spark, lake).count() == 3
     assert not [q for q in spark.streams.active]  # stopped on the way out
+
+
+def test_stream_dedup_key_expires_after_watermark(spark, tmp_dir):
+    """A repeat inside the window is dropped; once a micro-batch has run with
+    a watermark past the first sighting + 60 s (expired keys are evicted at
+    the end of a batch), the same key is accepted again."""
+    src = f"{tmp_dir}/in"
+    rec = ('{"jobId":"%s","title":"%s","url":"u","createdAt":[2025,7,1,%d,%d,%d],"source":"X"}')
+    write_lines(src, [rec % ("1", "A", 9, 0, 0), rec % ("2", "A", 9, 0, 30)], "f1.json")  # A, A+30s
+    write_lines(src, [rec % ("3", "B", 9, 10, 0)], "f2.json")   # watermark -> 09:09 for batch 3
+    write_lines(src, [rec % ("4", "C", 9, 20, 0)], "f3.json")   # batch 3 evicts A
+    write_lines(src, [rec % ("5", "A", 9, 30, 0)], "f4.json")   # A again: accepted
+    for i, name in enumerate(["f1.json", "f2.json", "f3.json", "f4.json"]):
+        os.utime(os.path.join(src, name), (1_700_000_000 + 10 * i,) * 2)  # file order = batch order
+    rows = ST.parsed_stream(spark, "text", {"maxFilesPerTrigger": "1"}, path=src)
+    q = (ST.stream_dedup(rows).select("job_id").writeStream.format("memory")
+         .queryName("dedup_expiry").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.job_id for r in spark.table("dedup_expiry").collect()) == ["1", "3", "4", "5"]
