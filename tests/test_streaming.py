@@ -19,7 +19,8 @@ def test_stream_ingest_and_replay(spark, tmp_dir):
     src, lake, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
     write_lines(src, STREAM_LINES[:3], "a.json")
     write_lines(src, STREAM_LINES[3:], "b.json")
-    ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src)
+    progress = ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src)
+    assert sum(p["numInputRows"] for p in progress) == len(STREAM_LINES)
     rows = O.read_lake(spark, lake)
     assert sorted(r.job_id for r in rows.collect()) == ["1", "1", "2"]
     assert sorted(r.batch_id for r in rows.select("batch_id").distinct().collect()) == [0, 1]
