@@ -7,11 +7,17 @@ with `regexp_extract_all` and indexed with `get` (0-based, null if absent).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import _c
 
+# Detail-page labels of the source system (industry, posted
+# date, skills).
+LABEL_INDUSTRY, LABEL_POSTED, LABEL_SKILLS = "NGÀNH NGHỀ", "NGÀY ĐĂNG", "KỸ NĂNG"
+
 # (?s): '.' also matches newlines, so elements spanning lines are whole.
 H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
 TITLE = r"(?s)<title[^>]*>(.*?)</title>"
@@ -50,3 +56,15 @@ def url_page(url: Column | str) -> Column:
     """The `page` query parameter as int; absent -> 1."""
     n = F.nullif(F.regexp_extract(_c(url), URL_PAGE, 1), F.lit("")).try_cast("int")
     return F.coalesce(n, F.lit(1))
+
+
+def label_value(html: Column | str, label: str) -> Column:
+    """Text of the <p> that follows a <label> whose text is `label`.
+
+    First the <p> right after the label; failing that, the first <p> later in
+    the label's enclosing <div>. Tags stripped, trimmed; missing -> null.
+    """
+    lab = r"<label[^>]*>\s*" + re.escape(label) + r"\s*</label>"
+    sibling = r"(?s)" + lab + r"\s*<p[^>]*>(.*?)</p>"
+    in_parent = r"(?s)" + lab + r"(?:(?!</div>).)*?<p[^>]*>(.*?)</p>"
+    return extract_field(html, sibling, fallback=in_parent)

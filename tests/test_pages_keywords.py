@@ -64,3 +64,16 @@ def test_keywords_cover_every_document(spark):
     docs = S.load_table(spark, SF, "documents")
     out = O.top_keywords(docs)
     assert out.count() == docs.count()
+
+
+def test_label_values(spark):
+    from jobtide import functions as J
+    html = ("<div><label> NGÀY ĐĂNG </label><p>01/07/2025</p></div>"
+            "<div><label>NGÀNH NGHỀ</label><span>x</span><p><a>IT - Phần mềm</a></p></div>"
+            "<div><label>KỸ NĂNG</label></div><p>not in the div</p>")
+    df = spark.createDataFrame([(html,), ("<p>none</p>",)], "html string")
+    r = df.select(J.label_value("html", J.html.LABEL_POSTED).alias("p"),
+                  J.label_value("html", J.html.LABEL_INDUSTRY).alias("i"),
+                  J.label_value("html", J.html.LABEL_SKILLS).alias("s")).collect()
+    assert (r[0].p, r[0].i, r[0].s) == ("01/07/2025", "IT - Phần mềm", None)
+    assert (r[1].p, r[1].i, r[1].s) == (None, None, None)
