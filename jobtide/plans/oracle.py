@@ -159,6 +159,25 @@ TITLE = r"(?s)<title[^>]*>(.*?)</title>"
 LI = r"(?s)<li[^>]*>(.*?)</li>"
 P = r"(?s)<p[^>]*>(.*?)</p>"
 
+def keywords_sql(docs: str, prelude: str = "", id_out: str = "doc_id", kw_out: str = "keywords") -> str:
+    """TF-IDF top 3 per document of `docs(doc_id, text)` (raw-count tf)."""
+    return prelude + rf"""
+toks AS (
+  SELECT doc_id AS doc,
+         list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda t: length(t) >= 2) AS toks
+  FROM {docs}),
+ex AS (SELECT doc, unnest(toks) AS term FROM toks),
+tf AS (SELECT doc, term, count(*) AS n FROM ex GROUP BY doc, term),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs FROM {docs}),
+sc AS (SELECT tf.doc, tf.term, CAST(tf.n AS DOUBLE) * ln(nd.n_docs / dfq.df) AS score
+       FROM tf JOIN dfq ON tf.term = dfq.term, nd),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY round(score, 9) DESC, term) AS rk FROM sc),
+kw AS (SELECT doc, string_agg(term, ', ' ORDER BY rk) AS keywords FROM rk WHERE rk <= 3 GROUP BY doc)
+SELECT d.doc_id AS {id_out}, COALESCE(kw.keywords, '') AS {kw_out}
+FROM {docs} d LEFT JOIN kw ON d.doc_id = kw.doc"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "category_salary": _with(JOBS, salary_ctes("jobs")) + f"""
 SELECT category, unit, count(*) AS postings, count(s_avg) AS with_salary, avg(s_avg) AS avg_salary
@@ -286,21 +305,13 @@ SELECT page_id, {HOST} AS host,
        array_to_string(list_concat({_all_text(LI)}, {_all_text(P)}), ', ') AS requirements
 FROM pages""",
 
-    "top_keywords": r"""
-WITH toks AS (
-  SELECT doc_id AS doc,
-         list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: length(t) >= 2) AS toks
-  FROM documents),
-ex AS (SELECT doc, unnest(toks) AS term FROM toks),
-tf AS (SELECT doc, term, count(*) AS n FROM ex GROUP BY doc, term),
-dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-nd AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs FROM documents),
-sc AS (SELECT tf.doc, tf.term, CAST(tf.n AS DOUBLE) * ln(nd.n_docs / dfq.df) AS score
-       FROM tf JOIN dfq ON tf.term = dfq.term, nd),
-rk AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY round(score, 9) DESC, term) AS rk FROM sc),
-kw AS (SELECT doc, string_agg(term, ', ' ORDER BY rk) AS keywords FROM rk WHERE rk <= 3 GROUP BY doc)
-SELECT d.doc_id, COALESCE(kw.keywords, '') AS keywords
-FROM documents d LEFT JOIN kw ON d.doc_id = kw.doc""",
+    "top_keywords": keywords_sql("documents", prelude="WITH"),
 
     "stream_ingest": _with(JOBS, LAKE) + f"SELECT {LAKE_OUT} FROM lake",
+
+    "page_skills": keywords_sql(
+        "pf", prelude=f"""WITH pf AS (
+  SELECT page_id AS doc_id,
+         array_to_string(list_concat({_all_text(LI)}, {_all_text(P)}), ', ') AS text
+  FROM pages),""", id_out="page_id", kw_out="skill"),
 }

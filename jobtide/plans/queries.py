@@ -265,6 +265,15 @@ def top_keywords(spark, sf_dir):
     return O.top_keywords(S.load_table(spark, sf_dir, "documents"), k=KEYWORDS_PER_DOC)
 
 
+def page_skills(spark, sf_dir):
+    """Skills of a posting page: its requirement text (list items, then
+    paragraphs) -> the page's top TF-IDF terms across all pages."""
+    req = O.page_fields(S.load_table(spark, sf_dir, "pages")) \
+        .select(F.col("page_id").alias("doc_id"), F.col("requirements").alias("text"))
+    return O.top_keywords(req, k=KEYWORDS_PER_DOC) \
+        .select(F.col("doc_id").alias("page_id"), F.col("keywords").alias("skill"))
+
+
 # -------------------------------------------------------------- streaming
 
 def _stage_messages(spark, sf_dir, base: str) -> str:
@@ -334,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cap_per_group": cap_per_group,
     "page_fields": page_fields,
     "top_keywords": top_keywords,
+    "page_skills": page_skills,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
 }
