@@ -75,12 +75,13 @@ def parquet_mart_sink(path: str, partition_by: tuple[str, ...] = ()) -> Callable
 def run_incremental(lake: DataFrame, mart_for_mark: DataFrame,
                     sink: Callable[[DataFrame], None],
                     million_only_if_marked: bool = False,
-                    partition_month_col: str | None = "scraped_month") -> int:
+                    partition_month_col: str | None = "scraped_month",
+                    default_mark: str = DEFAULT_MARK) -> int:
     """The whole batch job: mark -> new rows -> empty? stop -> clean -> append.
 
     Returns the number of mart rows written (observed during the write).
     """
-    mark = mark_value(high_water_mark(mart_for_mark))
+    mark = mark_value(high_water_mark(mart_for_mark, default=default_mark))
     new_rows = incremental_load(lake, mark, partition_month_col=partition_month_col)
     if new_rows.isEmpty():
         return 0
