@@ -86,15 +86,18 @@ def publish_envelope(spark, sf_dir):
 # ------------------------------------------------------------- cleaning
 
 def skill_split(spark, sf_dir):
+    """Skill text -> list (null -> [], '' -> ['']), shown as size + '|'-joined text."""
     j = _jobs(spark, sf_dir)
     return j.select("job_id", "skill", *_skills_text(J.skill_split("skill")))
 
 
 def skill_join(spark, sf_dir):
+    """Lake skill list -> the mart's comma-joined text."""
     return _lake(spark, sf_dir).select("job_id", J.skill_join("skill").alias("skill"))
 
 
 def scraped_at_parts(spark, sf_dir):
+    """Producer int-array time stamps -> timestamp (lenient and strict forms)."""
     rec = S.jobs_as_records(_jobs(spark, sf_dir))
     return rec.select(F.col("jobId").alias("job_id"),
                       F.array_join(F.col("createdAt").cast("array<string>"), ",").alias("created_at"),
@@ -103,6 +106,7 @@ def scraped_at_parts(spark, sf_dir):
 
 
 def date_parse(spark, sf_dir):
+    """Wire `dd/MM/yyyy` dates -> timestamps (bad text -> null)."""
     rec = S.jobs_as_records(_jobs(spark, sf_dir))
     return rec.select(F.col("jobId").alias("job_id"), "postedAt", "expiredAt",
                       J.parse_wire_date("postedAt").alias("posted_at"),
@@ -110,6 +114,7 @@ def date_parse(spark, sf_dir):
 
 
 def date_reformat(spark, sf_dir):
+    """Timestamps -> `MM/dd/yyyy` text (direct and via ISO text) and mart dates."""
     lake = _lake(spark, sf_dir)
     return lake.select(
         "job_id",
@@ -120,6 +125,7 @@ def date_reformat(spark, sf_dir):
 
 
 def relative_expiry(spark, sf_dir):
+    """Posted date + 'Hết hạn trong N ngày/tháng/tuần' -> expiry date."""
     j = _jobs(spark, sf_dir)
     d = J.relative_expiry("posted_at", "expire_text")
     return j.select("job_id", "expire_text", J.format_wire_date(d).alias("expired_text"),
@@ -127,25 +133,30 @@ def relative_expiry(spark, sf_dir):
 
 
 def category_clean(spark, sf_dir):
+    """Free-text category -> lower-case first phrase."""
     j = _jobs(spark, sf_dir)
     return j.select("job_id", F.col("category").alias("category_raw"),
                     J.category_clean("category").alias("category"))
 
 
 def salary_parse(spark, sf_dir):
+    """Salary text -> low, high, avg, unit (amounts in millions unless USD)."""
     return O.with_salary(_jobs(spark, sf_dir).select("job_id", "salary"))
 
 
 def salary_parse_tr(spark, sf_dir):
+    """Salary text -> low, high, avg, unit (millions only when marked tr/triệu)."""
     return O.with_salary(_jobs(spark, sf_dir).select("job_id", "salary"),
                          million_only_if_marked=True)
 
 
 def negotiable_filter(spark, sf_dir):
+    """Postings whose salary is not a negotiable phrase (null salary dropped)."""
     return O.negotiable_filter(_jobs(spark, sf_dir)).select("job_id", "salary")
 
 
 def stable_job_id(spark, sf_dir):
+    """Normalized dedup key and its SHA-256 id."""
     k = O.with_dedup_key(_jobs(spark, sf_dir), ts=None)
     return k.select("job_id", "dedup_key", J.stable_id("dedup_key").alias("stable_id"))
 
@@ -173,6 +184,7 @@ def high_water_mark(spark, sf_dir):
 
 
 def incremental_load(spark, sf_dir):
+    """Lake rows newer than the mart's high-water mark."""
     mark = O.mark_value(O.high_water_mark(_mart_before_mark(spark, sf_dir)))
     new_rows = O.incremental_load(_lake(spark, sf_dir), mark)
     return new_rows.select("job_id", "source", "title", "scraped_at")
@@ -187,10 +199,12 @@ def incremental_mart(spark, sf_dir):
 # ---------------------------------------------------------------- rollups
 
 def location_count(spark, sf_dir):
+    """Postings per location (expiry notes excluded)."""
     return O.location_count(_lake(spark, sf_dir))
 
 
 def category_count(spark, sf_dir):
+    """Mart postings per clean category."""
     return O.category_count(O.mart_clean(_lake(spark, sf_dir)), clean=False)
 
 
@@ -201,12 +215,14 @@ def _keyed(spark, sf_dir):
 
 
 def dedup_batch(spark, sf_dir):
+    """One row per (day, key): the earliest copy, with the number of copies."""
     d = O.dedup_batch(_keyed(spark, sf_dir))
     return d.select(_date_text("day").alias("day"), "dedup_key", "job_id", "scraped_at",
                     "n_copies")
 
 
 def seen_keys_by_day(spark, sf_dir):
+    """Distinct (day, key) members of the seen set before the split."""
     k = _keyed(spark, sf_dir).filter(F.col("scraped_at") <= _mark_ts())
     return O.seen_keys(k).select(_date_text("day").alias("day"), "dedup_key")
 
@@ -221,6 +237,7 @@ def dedup_against_seen(spark, sf_dir):
 
 
 def merge_sources(spark, sf_dir):
+    """Union by name of the two collectors' outputs (different column orders)."""
     rec = S.jobs_as_records(_jobs(spark, sf_dir))
     a = rec.filter(F.col("source") == "VietnamWorks").select("jobId", "source", "title", "url",
                                                              "company")
@@ -232,6 +249,7 @@ def merge_sources(spark, sf_dir):
 # ------------------------------------------------------------------- lake
 
 def lake_layout(spark, sf_dir):
+    """Postings in lake storage order with their month partition."""
     out = O.lake_layout(_lake(spark, sf_dir))
     return out.select("job_id", "source", "scraped_at", "scraped_month")
 
@@ -251,6 +269,7 @@ def lake_current(spark, sf_dir):
 # ------------------------------------------------------------------ pages
 
 def cap_per_group(spark, sf_dir):
+    """First 2 items of pages 1..5 of each listing host."""
     pages = S.load_table(spark, sf_dir, "pages")
     capped = O.cap_listing(pages, LISTING_MAX_PAGES, LISTING_PER_PAGE)
     return capped.select("host", F.col("page").cast("bigint").alias("page"), "page_id",
@@ -258,10 +277,12 @@ def cap_per_group(spark, sf_dir):
 
 
 def page_fields(spark, sf_dir):
+    """Title, third list item and requirement text from whole HTML pages."""
     return O.page_fields(S.load_table(spark, sf_dir, "pages"))
 
 
 def top_keywords(spark, sf_dir):
+    """Top 3 TF-IDF terms of every document."""
     return O.top_keywords(S.load_table(spark, sf_dir, "documents"), k=KEYWORDS_PER_DOC)
 
 
