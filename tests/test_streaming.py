@@ -76,7 +76,7 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     write_lines(src, STREAM_LINES, "a.json")
     t0 = time.time()
     ST.stream_ingest(spark, "text", {}, lake, ckpt, path=src, processing_time="1 second",
-                     available_now=False, timeout_s=6)
+                     available_now=False, timeout_s=15)
     assert time.time() - t0 < 60
     assert O.read_lake(spark, lake).count() == 3
     assert not [q for q in spark.streams.active]  # stopped on the way out
