@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from jobtide import functions as J
 from jobtide import sources as S

@@ -7,7 +7,6 @@ import unicodedata
 
 from hypothesis import given, settings, HealthCheck
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from jobtide import functions as J
 

@@ -4,8 +4,6 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
-from pyspark.sql import functions as F
 
 from jobtide import operators as O
 from jobtide import sources as S

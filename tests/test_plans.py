@@ -1,6 +1,5 @@
 """Physical-plan checks: what should and should not be in the plans."""
 
-from pyspark.sql import functions as F
 
 from jobtide import operators as O
 from jobtide import sources as S

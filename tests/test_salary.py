@@ -1,7 +1,6 @@
 """Golden cases for the salary parser, both variants."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from jobtide import functions as J
 

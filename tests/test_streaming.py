@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from jobtide import operators as O
 from jobtide import streaming as ST

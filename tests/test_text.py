@@ -2,7 +2,6 @@
 
 import unicodedata
 
-import pytest
 from pyspark.sql import functions as F
 
 from jobtide import functions as J
