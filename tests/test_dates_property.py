@@ -71,3 +71,23 @@ def test_dedup_key_matches_brute_force(spark, cases):
     rows = df.select("i", J.dedup_key("a", "b").alias("k")).orderBy("i").collect()
     for r, (a, b) in zip(rows, cases):
         assert r.k == brute_key(a, b), (a, b)
+
+
+stamps = st.datetimes(min_value=dt.datetime(1970, 1, 1), max_value=dt.datetime(2100, 12, 31))
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(stamps, min_size=60, max_size=60))
+def test_time_stamp_parts_round_trip(spark, ts):
+    """timestamp -> producer array (trailing zero seconds/nanos dropped) -> timestamp."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, t timestamp")
+    rows = df.select("i", J.timestamp_to_parts("t").alias("p"),
+                     J.timestamp_from_parts(J.timestamp_to_parts("t")).alias("b")).orderBy("i").collect()
+    for r, t in zip(rows, ts):
+        want = [t.year, t.month, t.day, t.hour, t.minute]
+        if t.microsecond:
+            want += [t.second, t.microsecond * 1000]
+        elif t.second:
+            want += [t.second]
+        assert r.p == want, t
+        assert r.b == t.replace(microsecond=0), t
