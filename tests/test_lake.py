@@ -72,3 +72,12 @@ def test_empty_lake_reads_empty(spark, tmp_dir):
     empty = O.read_lake(spark, f"{tmp_dir}/nothing-here")
     assert empty.count() == 0 and {"batch_id", "job_id", "scraped_at"} <= set(empty.columns)
     assert O.lake_current(empty.drop("scraped_month")).count() == 0
+
+
+def test_null_key_rows_go_to_quarantine(spark, tmp_dir):
+    lake = S.jobs_as_lake(S.jobs(spark, SF))
+    broken = lake.limit(2).withColumn("source", F.lit(None).cast("string"))
+    O.write_lake_batch(lake.unionByName(broken), 0, tmp_dir)
+    assert O.read_lake(spark, tmp_dir).count() == lake.count()          # scans skip _quarantine
+    q = spark.read.parquet(f"{tmp_dir}/_quarantine/batch_id=0")
+    assert q.count() == 2 and q.filter("source IS NULL").count() == 2
