@@ -103,3 +103,39 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """Command line: run everything once over the postings view of a table folder.
+
+    python -m jobtide.plans.runner --sf-dir /root/testdata/sf0.01 [--work DIR] [--day YYYY-MM-DD]
+        [--default-mark "yyyy-MM-dd HH:mm:ss"] [--kafka-bootstrap HOST:PORT --kafka-topic NAME]
+    """
+    import argparse
+    import json
+
+    from ..session import get_spark
+
+    ap = argparse.ArgumentParser(prog="jobtide.plans.runner")
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--work")
+    ap.add_argument("--day")
+    ap.add_argument("--default-mark", default=O.DEFAULT_MARK)
+    ap.add_argument("--kafka-bootstrap")
+    ap.add_argument("--kafka-topic")
+    args = ap.parse_args(argv)
+    spark = get_spark("jobtide-run")
+    kafka = ({"bootstrap": args.kafka_bootstrap, "topic": args.kafka_topic}
+             if args.kafka_bootstrap and args.kafka_topic else None)
+    records = S.jobs_as_records(S.jobs(spark, args.sf_dir))
+    out = run_all(spark, records, work=args.work, day=args.day,
+                  default_mark=args.default_mark, kafka=kafka)
+    summary = {k: v for k, v in out.items() if not isinstance(v, DataFrame)}
+    summary["location_count"] = [r.asDict() for r in out["location_count"].collect()]
+    summary["category_count"] = [r.asDict() for r in out["category_count"].collect()]
+    print(json.dumps(summary, ensure_ascii=False))
+    return summary
+
+
+if __name__ == "__main__":
+    main()
