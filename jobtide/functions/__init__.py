@@ -1,4 +1,6 @@
-"""Column -> Column building blocks (built-in Spark expressions)."""
+"""Column-level building blocks (built-in Spark expressions only; NFC is the one
+pandas UDF). The salary parser works on a DataFrame: it stages its intermediates
+as columns so every regex runs once per row."""
 
 from .dates import (collected_now, first_int, format_wire_date, mart_date, mdy_text, mdy_text_from_iso,
                     parse_wire_date, relative_expiry, timestamp_from_parts, timestamp_text,
