@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash_dedup
-from .common import table
+from . import decontamination, minhash_dedup, mixing, sharding, toxicity
+from .common import is_held_out, table
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,43 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards of near-equal bytes, by the edited slot map."""
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or score of every document and its offending sentences."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+                        F.concat_ws(",", F.transform("offending", lambda s: F.concat_ws(
+                            ":", s["start"], s["end"]))).alias("offending"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document contains: 5-word shingles, 80 % and more."""
+    found = decontamination.with_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                         words=5, percent=80, carry=("doc_id",))
+    ids = F.array_sort(F.transform("__matches", lambda m: m["item_id"]))
+    return found.select("doc_id", (F.size("__matches") > 0).alias("contaminated"),
+                        F.size("__matches").cast("long").alias("n_items"),
+                        F.concat_ws(",", F.transform(ids, lambda i: i.cast("string"))).alias("items"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document, against its source's target."""
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "weight", "shard")
+
+
 QUERIES = {
+    "op3_sharding": op3_sharding,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
