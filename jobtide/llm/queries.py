@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, minhash_dedup, mixing, sharding, toxicity
-from .common import is_held_out, table
+from . import decontamination, minhash_dedup, mixing, secrets, sharding, token_files, toxicity
+from .common import is_held_out, staged_path, table
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +16,36 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the token files."""
+    import public_tokenizers
+
+    path = staged_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_tokens(spark, path)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards of near-equal bytes, by the edited slot map."""
     return sharding.sharded(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a new ledger."""
+    docs, path = table(spark, sf_dir, "documents"), staged_path(spark, "ledger")
+    secrets.create(spark, path)
+    secrets.update(docs, path)
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{r.kind}")
+              for k, r in enumerate(secrets.BASE)]
+    return secrets.by_path(docs, path).select(
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Noisy-or score of every document and its offending sentences."""
     docs = table(spark, sf_dir, "documents")
@@ -48,7 +73,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op3_sharding": op3_sharding,
+    "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_decontamination": op7_decontamination,
