@@ -39,9 +39,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
+    def number(rank):
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{r.kind}")
-              for k, r in enumerate(secrets.BASE)]
+    counts = [number(k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)]
     return secrets.by_path(docs, path).select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
