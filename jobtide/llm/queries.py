@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, minhash_dedup, mixing, secrets, sharding, token_files, toxicity
+from . import (decontamination, line_quality, minhash_dedup, mixing, quality_classifier, secrets, sharding,
+               token_files, toxicity)
 from .common import is_held_out, staged_path, table
 
 
@@ -68,6 +69,23 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws(",", F.transform(ids, lambda i: i.cast("string"))).alias("items"))
 
 
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the line-first rules for every document."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+             "n_failed_lines", "lost_chars")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_quality.measured(docs).select("doc_id", *(F.col(f"__q.{n}").alias(n) for n in names))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive-unlabelled quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.scored(docs, model).select(
+        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.lit(model.prior).alias("prior"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document, against its source's target."""
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
@@ -81,6 +99,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_line_quality": op8_line_quality,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
 }
 
