@@ -10,8 +10,8 @@ model on the cuts minimises the non-negative unbiased risk
 with the logistic loss. The class prior is estimated from a first model that
 tells positives from unlabelled texts: where a share q_p of held-aside
 positives and q_u of held-aside unlabelled texts score above a cut, the prior
-is at most q_u / q_p, and the least such bound, with its sampling error, is
-taken.
+is at most q_u / q_p; it is taken where that bound with its sampling error is
+least.
 
 The fit uses at most SAMPLE positives and SAMPLE unlabelled documents, of at
 most SAMPLE_CHARS characters, chosen by a hash of doc_id; only learning rows
@@ -106,7 +106,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def non_negative_fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
-                     steps: int = 400, rate: float = 0.03, ridge: float = 1e-3) -> np.ndarray:
+                     steps: int = 800, rate: float = 0.03, ridge: float = 1e-3) -> np.ndarray:
     """Weights, the intercept last, of least non-negative risk."""
     p = np.hstack([positive, np.ones((len(positive), 1))])
     u = np.hstack([unlabelled, np.ones((len(unlabelled), 1))])
@@ -125,15 +125,16 @@ def non_negative_fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
 
 
 def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Least upper bound of the share of positives among the unlabelled, from scores of
-    texts that the scoring model has not seen."""
+    """Share of positives among the unlabelled, from scores of texts that the scoring model
+    has not seen: at the least upper bound, the lower end of two standard errors, as a
+    prior that is too high takes negatives for positives."""
     cuts = np.quantile(positive, np.linspace(0.0, 0.9, 46))
     q_p = (positive[None, :] >= cuts[:, None]).mean(axis=1)
     q_u = (unlabelled[None, :] >= cuts[:, None]).mean(axis=1)
-    error = np.sqrt(q_u * (1 - q_u) / len(unlabelled)) + np.sqrt(q_p * (1 - q_p) / len(positive))
-    bound = (q_u + error) / np.maximum(q_p, 1e-9)
-    best = int(np.argmin(bound))
-    return float(np.clip(q_u[best] / q_p[best], 0.01, 0.99))
+    error_u = 2 * np.sqrt(q_u * (1 - q_u) / len(unlabelled))
+    error_p = 2 * np.sqrt(q_p * (1 - q_p) / len(positive))
+    best = int(np.argmin((q_u + error_u) / np.maximum(q_p - error_p, 1e-9)))
+    return float(np.clip((q_u[best] - error_u[best]) / (q_p[best] + error_p[best]), 0.01, 0.99))
 
 
 def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -81,31 +81,39 @@ class Model:
         return abs(float(-np.expm1(safe))), offending
 
 
-def fit_noisy_or(bags: list[tuple[int, float, int, dict[tuple[int, ...], int]]], size: int,
-                 steps: int = 400, rate: float = 0.1, ridge: float = 2e-3) -> np.ndarray:
-    """Weights that maximise the noisy-or likelihood of (label, weight, plain sentences,
-    {features of a sentence: how often}) by gradient steps with momentum and scaling."""
+@dataclass
+class Bags:
+    """Documents as bags of sentences with evidence, in flat arrays."""
+
+    labels: np.ndarray     # per document
+    importance: np.ndarray
+    plain: np.ndarray      # sentences without evidence
+    counts: np.ndarray     # different sentences with evidence
+    times: np.ndarray      # per sentence: how often the document has it
+    widths: np.ndarray     # features
+    ids: np.ndarray        # the sentences' features, one after the other
+
+
+def fit_noisy_or(bags: Bags, size: int, steps: int = 400, rate: float = 0.1, ridge: float = 2e-3) -> np.ndarray:
+    """Weights that maximise the noisy-or likelihood of the documents' labels, by
+    gradient steps with momentum and scaling."""
     weights = np.zeros(size)
-    if not size or not bags:
+    if not size or not len(bags.labels):
         return weights
-    sentences = [(d, ids, n) for d, bag in enumerate(bags) for ids, n in sorted(bag[3].items())]
-    labels = np.array([b[0] for b in bags], float)
-    importance = np.array([b[1] for b in bags], float)
-    importance /= importance.sum()
-    base = -np.array([b[2] for b in bags], float) * np.logaddexp(0.0, PLAIN)
-    owner = np.array([s[0] for s in sentences], int)
-    times = np.array([s[2] for s in sentences], float)
-    row = np.repeat(np.arange(len(sentences)), [len(s[1]) for s in sentences])
-    column = np.array([f for s in sentences for f in s[1]], int)
+    n, sentences = len(bags.labels), len(bags.times)
+    importance = bags.importance / bags.importance.sum()
+    base = -bags.plain * np.logaddexp(0.0, PLAIN)
+    owner = np.repeat(np.arange(n), bags.counts)
+    row = np.repeat(np.arange(sentences), bags.widths)
     first, second = np.zeros(size), np.zeros(size)
     for step in range(1, steps + 1):
-        odds = BIAS + np.bincount(row, weights[column], minlength=len(sentences))
+        odds = BIAS + np.bincount(row, weights[bags.ids], minlength=sentences)
         p = 1 / (1 + np.exp(-odds))
-        safe = base - np.bincount(owner, times * np.logaddexp(0.0, odds), minlength=len(bags))
+        safe = base - np.bincount(owner, bags.times * np.logaddexp(0.0, odds), minlength=n)
         safe = np.minimum(safe, -1e-9)
-        slope = np.where(labels > 0, np.exp(safe) / -np.expm1(safe), -1.0) * importance
-        by_sentence = -(slope[owner] * times * p)
-        gradient = np.bincount(column, by_sentence[row], minlength=size) + ridge * weights / len(bags)
+        slope = np.where(bags.labels > 0, np.exp(safe) / -np.expm1(safe), -1.0) * importance
+        by_sentence = -(slope[owner] * bags.times * p)
+        gradient = np.bincount(bags.ids, by_sentence[row], minlength=size) + ridge * weights / n
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient ** 2
         weights = weights - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-12)
@@ -156,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def bagged(batches):
         for batch in batches:
-            plain, sentences = [], []
+            plain, times, widths, flat = [], [], [], []
             for text in batch.column(0).to_pylist():
                 none, bag = 0, Counter()
                 for m in SENTENCE.finditer(text):
@@ -166,16 +174,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                     else:
                         none += 1
                 plain.append(none)
-                sentences.append([{"ids": list(ids), "times": n} for ids, n in sorted(bag.items())])
-            kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("times", pa.int32())]))
+                different = sorted(bag.items())
+                times.append(np.array([k for _, k in different], "<i4").tobytes())
+                widths.append(np.array([len(ids) for ids, _ in different], "<i4").tobytes())
+                flat.append(np.array([x for ids, _ in different for x in ids], "<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(plain, pa.int64()), pa.array(sentences, kind)],
-                names=["label", "weight", "plain", "sentences"])
+                [batch.column(1), batch.column(2), pa.array(plain, pa.int64()),
+                 *(pa.array(x, pa.binary()) for x in (times, widths, flat))],
+                names=["label", "weight", "plain", "times", "widths", "ids"])
+
+    rows = sorted((r["label"], bytes(r["ids"]), bytes(r["widths"]), bytes(r["times"]), r["plain"], r["weight"])
+                  for r in sample.mapInArrow(bagged, "label int, weight double, plain long, times binary, "
+                                                     "widths binary, ids binary").collect())
+
+    def joined(k):
+        return np.frombuffer(b"".join(r[k] for r in rows), "<i4")
 
-    bags = [(r["label"], r["weight"], r["plain"], {tuple(s["ids"]): s["times"] for s in r["sentences"]})
-            for r in sample.mapInArrow(bagged, "label int, weight double, plain long, "
-                                               "sentences array<struct<ids: array<int>, times: int>>").collect()]
-    weights = fit_noisy_or(sorted(bags, key=repr), len(vocabulary))
+    bags = Bags(np.array([r[0] for r in rows], float), np.array([r[5] for r in rows], float),
+                np.array([r[4] for r in rows], float), np.array([len(r[3]) // 4 for r in rows], int),
+                joined(3).astype(float), joined(2), joined(1).astype(int))
+    weights = fit_noisy_or(bags, len(vocabulary))
     return Model({x: float(weights[k]) for x, k in vocabulary.items()})
 
 
