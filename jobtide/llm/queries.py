@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, line_quality, minhash_dedup, mixing, quality_classifier, secrets, sharding,
-               token_files, toxicity)
+from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, quality_classifier, secrets,
+               sharding, token_files, toxicity)
 from .common import is_held_out, staged_path, table
 
 
@@ -26,6 +26,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line blocks that align with an earlier one."""
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("__lines").alias("n_lines"),
+                        F.size("__deleted").cast("long").alias("n_deleted"),
+                        F.concat_ws(",", F.transform("__deleted", lambda k: k.cast("string"))).alias("deleted"), "text")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards of near-equal bytes, by the edited slot map."""
     return sharding.sharded(table(spark, sf_dir, "documents"), shards=16)
@@ -94,6 +102,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
