@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, quality_classifier, secrets,
                sharding, token_files, toxicity)
 from .common import is_held_out, staged_path, table
+from .oracle import ORACLE_SQL
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,4 +114,4 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]
