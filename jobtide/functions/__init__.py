@@ -5,7 +5,8 @@ as columns so every regex runs once per row."""
 from .dates import (collected_now, first_int, format_wire_date, mart_date, mdy_text, mdy_text_from_iso,
                     parse_wire_date, relative_expiry, timestamp_from_parts, timestamp_text,
                     timestamp_to_parts)
-from .html import extract_all_text, extract_field, label_value, nth_item, url_host, url_page
+from .html import (extract_all_text, extract_field, label_value, labelled_item, nth_item, url_host,
+                   url_page)
 from .salary import normalize_text, with_salary_columns
 from .text import (category_clean, collapse_ws, contains_any, dedup_key, java_trim, nfc,
                    random_id, skill_join, skill_split, stable_id)
@@ -16,5 +17,5 @@ __all__ = [
     "collected_now", "first_int", "format_wire_date", "mart_date", "mdy_text", "mdy_text_from_iso",
     "parse_wire_date", "relative_expiry", "timestamp_from_parts", "timestamp_text",
     "timestamp_to_parts",
-    "extract_all_text", "extract_field", "label_value", "nth_item", "url_host", "url_page",
+    "extract_all_text", "extract_field", "label_value", "labelled_item", "nth_item", "url_host", "url_page",
 ]

@@ -20,25 +20,16 @@ UNIT_DAY, UNIT_MONTH, UNIT_WEEK = "ngày", "tháng", "tuần"
 DEFAULT_EXPIRY_DAYS = 30
 
 
-def _part(arr: Column, i: int, width: int) -> Column:
-    return F.lpad(F.get(arr, i).cast("string"), width, "0")
-
-
 def timestamp_from_parts(col: Column | str, strict: bool = False) -> Column:
-    """[y, M, d, h, m, s, (nanos)] int array -> timestamp (whole seconds).
+    """[y, M, d, h, m, s, (nanos)] int array -> timestamp in whole seconds.
 
-    The parts are padded and joined to `yyyy-MM-dd HH:mm:ss` text, then parsed.
-    A missing seconds element means zero (the producer omits trailing zero
-    seconds); strict=True keeps the text without it, which parses to null.
+    A missing seconds element means zero, as the producer omits it then;
+    strict=True gives null for it. Impossible or missing parts give null.
     """
-    arr = _c(col)
-    sec = _part(arr, 5, 2)
+    parts = [F.get(_c(col), i) for i in range(6)]
     if not strict:
-        sec = F.coalesce(sec, F.lit("00"))
-    text = F.concat_ws(" ",
-                       F.concat_ws("-", _part(arr, 0, 4), _part(arr, 1, 2), _part(arr, 2, 2)),
-                       F.concat_ws(":", _part(arr, 3, 2), _part(arr, 4, 2), sec))
-    return F.try_to_timestamp(text, F.lit(TS_TEXT_FORMAT))
+        parts[5] = F.coalesce(parts[5], F.lit(0))
+    return F.try_make_timestamp(*parts[:5], parts[5].cast("decimal(16,6)"))
 
 
 def timestamp_to_parts(col: Column | str) -> Column:

@@ -12,34 +12,65 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c
+from .text import _c, collapse_ws, java_trim
 
 # Detail-page labels of the source system (industry, posted
 # date, skills).
 LABEL_INDUSTRY, LABEL_POSTED, LABEL_SKILLS = "NGÀNH NGHỀ", "NGÀY ĐĂNG", "KỸ NĂNG"
+# Labels in the list items of the other collector's boxes, and the
+# heading of its requirements.
+ITEM_POSTED, ITEM_INDUSTRY, ITEM_SALARY, ITEM_EXPIRY = "Ngày cập nhật", "Ngành nghề", "Lương", "Hết hạn nộp"
+REQUIREMENTS = "Yêu Cầu Công Việc"
 
-# (?s): '.' also matches newlines, so elements spanning lines are whole.
-H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
-TITLE = r"(?s)<title[^>]*>(.*?)</title>"
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-PARAGRAPH = r"(?s)<p[^>]*>(.*?)</p>"
+# (?s): '.' also matches newlines, so elements spanning lines are whole. A tag
+# name ends at white space or '>': <li> is not <link>, <p> is not <pre>.
+def element(tag: str, having: str = "") -> str:
+    """Pattern of an element's content; `having` is a pattern its attributes must match."""
+    attributes = rf"(?=[^>]*{having})" if having else ""
+    return rf"(?s)<{tag}(?:\s{attributes}[^>]*)?>(.*?)</{tag}>" if not having \
+        else rf"(?s)<{tag}\s{attributes}[^>]*>(.*?)</{tag}>"
+
+
+H1, TITLE, LIST_ITEM, PARAGRAPH, LINK = map(element, ("h1", "title", "li", "p", "a"))
 TAG = r"<[^>]*>"
+HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]+)"
 URL_PAGE = r"[?&]page=(\d+)"
+# The entities that markup itself needs, `&amp;` last.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&amp;", "&"))
+
+
+def visible(html: Column | str) -> Column:
+    """Markup without comments, scripts and style sheets."""
+    return F.regexp_replace(_c(html), HIDDEN, "")
+
+
+def plain_text(markup: Column) -> Column:
+    """Text of a piece of markup: no tags, entities decoded, white space collapsed and trimmed."""
+    text = F.regexp_replace(markup, TAG, "")
+    for entity, character in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return java_trim(collapse_ws(text))
 
 
 def extract_field(html: Column | str, pattern: str, fallback: str | None = None) -> Column:
-    """First group of `pattern`, tags stripped and trimmed; '' -> null."""
+    """Text of the first group of `pattern`; '' -> null."""
     def one(p):
-        return F.nullif(F.trim(F.regexp_replace(F.regexp_extract(_c(html), p, 1), TAG, "")),
-                        F.lit(""))
+        return F.nullif(plain_text(F.regexp_extract(_c(html), p, 1)), F.lit(""))
     return one(pattern) if fallback is None else F.coalesce(one(pattern), one(fallback))
 
 
 def extract_all_text(html: Column | str, pattern: str) -> Column:
-    """All matches of `pattern` (group 1) with tags stripped and trimmed."""
-    items = F.regexp_extract_all(_c(html), F.lit(pattern), 1)
-    return F.transform(items, lambda x: F.trim(F.regexp_replace(x, TAG, "")))
+    """Texts of all matches of `pattern` (group 1)."""
+    return F.transform(F.regexp_extract_all(_c(html), F.lit(pattern), 1), plain_text)
+
+
+def labelled_item(html: Column | str, label: str, inner: str = PARAGRAPH) -> Column:
+    """Text of the first `inner` element of the first list item whose text has `label`."""
+    items = F.regexp_extract_all(_c(html), F.lit(LIST_ITEM), 1)
+    item = F.get(F.filter(items, lambda x: plain_text(x).contains(label)), 0)
+    return extract_field(item, inner)
 
 
 def nth_item(html: Column | str, pattern: str, i: int) -> Column:
@@ -58,13 +89,19 @@ def url_page(url: Column | str) -> Column:
     return F.coalesce(n, F.lit(1))
 
 
-def label_value(html: Column | str, label: str) -> Column:
-    """Text of the <p> that follows a <label> whose text is `label`.
+def _block(depth: int) -> str:
+    """Pattern of a whole <div>, with others inside it to `depth` more levels."""
+    inside = r"[^<]++|<(?!/?div\b)" + (f"|{_block(depth - 1)}" if depth else "")
+    return rf"<div\b[^>]*>(?:{inside})*+</div>"
+
+
+def label_value(html: Column | str, label: str, nested: int = 4) -> Column:
+    """Text of the first <p> after a <label> of this text, among its later siblings.
 
-    First the <p> right after the label; failing that, the first <p> later in
-    the label's enclosing <div>. Tags stripped, trimmed; missing -> null.
+    Sibling blocks between the two are stepped over whole (<div>s nested to
+    `nested` levels), and the end of the label's own parent ends the search.
+    Missing -> null.
     """
-    lab = r"<label[^>]*>\s*" + re.escape(label) + r"\s*</label>"
-    sibling = r"(?s)" + lab + r"\s*<p[^>]*>(.*?)</p>"
-    in_parent = r"(?s)" + lab + r"(?:(?!</div>).)*?<p[^>]*>(.*?)</p>"
-    return extract_field(html, sibling, fallback=in_parent)
+    between = rf"(?:[^<]++|<(?!/?div\b|p[\s>])|{_block(nested)})*+"
+    pattern = rf"(?s)<label(?:\s[^>]*)?>\s*{re.escape(label)}\s*</label>{between}<p(?:\s[^>]*)?>(.*?)</p>"
+    return extract_field(html, pattern)

@@ -3,13 +3,14 @@
 from .dedup import dedup_batch, drop_seen, merge_sources, seen_keys, with_dedup_key
 from .incremental import (DEFAULT_MARK, high_water_mark, incremental_load, mark_value,
                           parquet_mart_sink, run_incremental)
-from .ingest import (decode_value, parse_json, parse_records, split_quarantine, to_lake_rows,
-                     with_row_count)
+from .ingest import (all_records, decode_value, ingest_counts, parse_json, parse_records,
+                     split_quarantine, to_lake_rows, with_row_count)
 from .keywords import doc_terms, tfidf, top_keywords
-from .lake import (PARTITION_COLUMNS, lake_current, lake_layout, read_current, read_lake,
-                   snapshot_current, with_scraped_month, write_lake_batch)
+from .lake import (PARTITION_COLUMNS, after, lake_current, lake_layout, latest_batch,
+                   read_current, read_lake, read_or_empty, run_of, snapshot_current,
+                   with_scraped_month, write_lake_batch)
 from .mart import NEGOTIABLE_PHRASES, mart_clean, negotiable_filter, with_salary
-from .pages import cap_listing, cap_per_group, page_fields, with_listing_position
+from .pages import cap_listing, cap_per_group, page_fields, page_postings, with_listing_position
 from .publish import publish_envelope
 from .rollups import category_count, category_salary, count_by, location_count
 
@@ -17,12 +18,13 @@ __all__ = [
     "dedup_batch", "drop_seen", "merge_sources", "seen_keys", "with_dedup_key",
     "DEFAULT_MARK", "high_water_mark", "incremental_load", "mark_value", "parquet_mart_sink",
     "run_incremental",
-    "decode_value", "parse_json", "parse_records", "split_quarantine", "to_lake_rows",
+    "all_records", "decode_value", "ingest_counts", "parse_json", "parse_records",
+    "split_quarantine", "to_lake_rows",
     "with_row_count", "doc_terms", "tfidf", "top_keywords",
-    "PARTITION_COLUMNS", "lake_current", "lake_layout", "read_current", "read_lake",
-    "snapshot_current", "with_scraped_month",
+    "PARTITION_COLUMNS", "after", "lake_current", "lake_layout", "latest_batch", "read_current",
+    "read_lake", "read_or_empty", "run_of", "snapshot_current", "with_scraped_month",
     "write_lake_batch",
     "NEGOTIABLE_PHRASES", "mart_clean", "negotiable_filter", "with_salary",
-    "cap_listing", "cap_per_group", "page_fields", "with_listing_position",
+    "cap_listing", "cap_per_group", "page_fields", "page_postings", "with_listing_position",
     "publish_envelope", "category_count", "category_salary", "count_by", "location_count",
 ]

@@ -6,12 +6,13 @@ computed corpus-wide as a Spark job, so the result is *not* what a language
 model would return.
 
 Plan shape (every document, every token, no sampling):
-  tokens    explode(split(lower(text))), tokens of 2+ chars
+  tokens    explode_outer(split(lower(text))), tokens of `min_length`+ chars
   tf        groupBy(doc, term).count        partial + final hash aggregate
   df        groupBy(term).count over tf     partial aggregate absorbs hot terms
   score     tf join df on term              adaptive execution splits skewed terms
   top k     row_number() <= k per doc       partial WindowGroupLimit before shuffle
-  keywords  ordered join of <= k terms per doc, every doc kept (left join)
+  keywords  ordered join of <= k terms per doc; documents without a term keep
+            their null row to the end
 """
 
 from __future__ import annotations
@@ -19,58 +20,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Token rule: lower case, split on anything that is not a letter or digit,
-# keep tokens of at least MIN_TOKEN_LEN characters.
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-MIN_TOKEN_LEN = 2
+# Token rule: lower case, split on anything that is not a letter, a digit, '+'
+# or '#' (c++, c#), and keep tokens that have a letter or a digit.
+TOKEN_SPLIT = r"[^\p{L}\p{N}+#]+"
+TOKEN = r"[\p{L}\p{N}]"
 SCORE_DIGITS = 9
 
 
-def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              min_length: int = 1) -> DataFrame:
     """(doc, term, n): term counts per document over the whole text.
 
-    Tokens are filtered after the explode, as plain rows inside codegen.
+    Every document keeps a row: what is no term counts under a null one.
+    Tokens are tested after the explode, as plain rows inside codegen.
     """
-    exploded = docs.select(F.col(id_col).alias("doc"),
-                           F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
-    return (exploded.filter(F.length("term") >= MIN_TOKEN_LEN)
+    token = F.col("token")
+    kept = F.when((F.length(token) >= min_length) & token.rlike(TOKEN), token)
+    return (docs.select(F.col(id_col).alias("doc"),
+                        F.explode_outer(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("token"))
+            .select("doc", kept.alias("term"))
             .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, term, score) with score = n * ln(N / df).
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          min_length: int = 1) -> DataFrame:
+    """(doc, term, score) with score = n * ln(N / df); a null term has a null score.
 
     n is the raw count of the term in the document (the document's length is
     a constant factor within a document, so it cannot change a ranking).
     """
-    n_docs = docs.count()  # one number for the whole corpus
-    tf = doc_terms(docs, id_col, text_col)
+    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    tf = doc_terms(docs, id_col, text_col, min_length)
     # df = documents where the term occurs (n > 0). Reading `n` keeps both uses
     # of `tf` identical, so the (doc, term) shuffle is computed once and reused:
     # every document is tokenized once.
     dfreq = tf.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
-    return (tf.join(dfreq, "term")
-            .select("doc", "term",
-                    (F.col("n") * F.log(F.lit(float(n_docs)) / F.col("df"))).alias("score")))
+    return (tf.join(dfreq, "term", "left")
+            .select("doc", "term", (F.col("n") * F.log(n_docs / F.col("df"))).alias("score")))
 
 
 def top_keywords(docs: DataFrame, k: int = 3, id_col: str = "doc_id",
-                 text_col: str = "text", sep: str = ", ") -> DataFrame:
+                 text_col: str = "text", sep: str = ", ", min_length: int = 1) -> DataFrame:
     """One row per document: its k best terms joined with `sep` ('' if none).
 
     Ranked on the score rounded to 9 digits, descending, then the term.
     """
-    scored = tfidf(docs, id_col, text_col)
-    w = Window.partitionBy("doc").orderBy(F.round("score", SCORE_DIGITS).desc(),
+    scored = tfidf(docs, id_col, text_col, min_length)
+    w = Window.partitionBy("doc").orderBy(F.round("score", SCORE_DIGITS).desc_nulls_last(),
                                           F.col("term").asc())
-    top = (scored.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
-           .select("doc", "rk", "term"))
-    # Every document gets a row: union a term-less marker row per document and
-    # group (no join, so nothing is inferred into one branch only).
-    ids = docs.select(F.col(id_col).alias("doc"), F.lit(None).cast("int").alias("rk"),
-                      F.lit(None).cast("string").alias("term"))
+    top = scored.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
     picked = F.filter(F.array_sort(F.collect_list(F.struct("rk", "term"))),
                       lambda s: s["term"].isNotNull())
-    return (top.unionByName(ids).groupBy("doc")
+    return (top.groupBy("doc")
             .agg(F.array_join(F.transform(picked, lambda s: s["term"]), sep).alias("keywords"))
             .withColumnRenamed("doc", id_col))

@@ -1,30 +1,31 @@
 """Lake table: idempotent per-batch writes, storage layout, current view.
 
-Layout: `<lake>/batch_id=N/source=S/scraped_month=yyyy-MM/*.parquet`.
-- One folder per micro-batch, written in overwrite mode: a replayed batch
-  replaces its own folder instead of appending twice.
-- Inside a batch, rows are range-partitioned on the full key (source,
-  scraped_month, scraped_at desc, job_id) -- unique, so even a source
-  holding a third of all rows spreads evenly over tasks -- and sorted within
-  each file: newest first, then job id. `source` / `scraped_month` folders
-  let scans prune; inside a month, parquet min/max statistics of the sorted
-  `scraped_at` let a `> mark` filter skip row groups. Month folders keep
-  the file count bounded (days would multiply it by ~30).
-- The current view is last-write-wins per key, as an aggregate.
+Layout: `<lake>/run=R/batch_id=N/source=S/scraped_month=yyyy-MM/*.parquet`.
+- One folder per stream and micro-batch, written in overwrite mode: a replayed
+  batch replaces its own folder instead of appending twice. A stream is known
+  by the id in its checkpoint; a stream the lake has not met (a new or a lost
+  checkpoint, whose batches count from 0 again) gets the next run number, so
+  it never overwrites another's history and its rows are the later version.
+- Inside a batch, adaptive execution rebalances rows by (source, month): large
+  groups are split over tasks, small ones meet in one file. Files are sorted,
+  newest first, then job id, so that parquet min/max statistics let a `> mark`
+  filter skip row groups. `source` / `scraped_month` folders let scans prune;
+  month folders keep the file count bounded (days would multiply it by ~30).
+- The current view is last-write-wins per key, as a sort-based aggregate with a
+  partial step.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LAKE_KEY, LAKE_SCHEMA
-from .ingest import split_quarantine
+from .ingest import complete_key, split_quarantine
 
 # Partition folders first (ascending, as the file writer needs), then the
 # clustering order inside each file.
@@ -34,6 +35,7 @@ def storage_order() -> list:
 
 
 PARTITION_COLUMNS = ["source", "scraped_month"]
+VERSION = ("run", "batch_id")
 
 
 def month_of(col) -> "F.Column":
@@ -55,89 +57,121 @@ def lake_layout(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     return df.sortWithinPartitions(*storage_order())
 
 
-def write_lake_batch(df: DataFrame, batch_id: int, lake_path: str,
-                     num_partitions: int | None = None, persist: bool = True) -> None:
+def write_lake_batch(df: DataFrame, batch_id: int, lake_path: str, run: int = 0) -> dict:
     """Write one batch into its own folder (overwrite = idempotent replay).
 
-    Rows with a null key column go to `<lake>/_quarantine/batch_id=N`, which
-    lake scans skip (leading underscore). The write passes over the batch three
-    times (quarantine check, range-bound sample, data), so by default the batch
-    is persisted (memory and disk) for the duration; a lost cached block is
-    recomputed from lineage.
+    Rows without a complete key (an empty source counts as none) go to
+    `<lake>/_quarantine/run=R/batch_id=N`, which lake scans skip. They are
+    counted during the write; only if there are any is the batch read again.
+    Returns the counts `received`, `quarantined` and `written`.
     """
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("received"),
+                         F.count_if(~complete_key()).alias("quarantined"))
+    placed = (with_scraped_month(counted.filter(complete_key()))
+              .hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*storage_order()))
+    (placed.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS)
+     .parquet(f"{lake_path}/run={run}/batch_id={batch_id}"))
+    counts = dict(seen.get)
+    if counts["quarantined"]:
+        split_quarantine(df)[1].write.mode("overwrite") \
+            .parquet(f"{lake_path}/_quarantine/run={run}/batch_id={batch_id}")
+    return {**counts, "written": counts["received"] - counts["quarantined"]}
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str,
+                  base: str | None = None) -> DataFrame:
+    """The parquet files at `path` with a declared schema; none yet reads as empty."""
     try:
-        good, bad = split_quarantine(df)
-        (lake_layout(good, num_partitions).write.mode("overwrite")
-         .partitionBy(*PARTITION_COLUMNS)
-         .parquet(f"{lake_path}/batch_id={batch_id}"))
-        if not bad.isEmpty():
-            bad.write.mode("overwrite").parquet(f"{lake_path}/_quarantine/batch_id={batch_id}")
-    finally:
-        if persist:
-            df.unpersist()
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def run_of(spark: SparkSession, lake_path: str, stream_id: str) -> int:
+    """The run number of a stream in this lake; an unknown stream gets the next one.
+
+    The table has a row per stream. A lake has one writer at a time.
+    """
+    path, schema = f"{lake_path}/_runs", "stream_id string, run int"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    known = {r["stream_id"]: r["run"] for r in spark.read.schema(schema).parquet(path).collect()}
+    if stream_id not in known:
+        known[stream_id] = max(known.values(), default=-1) + 1
+        spark.createDataFrame([(stream_id, known[stream_id])], schema) \
+            .coalesce(1).write.mode("append").parquet(path)
+    return known[stream_id]
+
+
+# Partition folders come back as declared: a source "007" stays text.
+STORED_SCHEMA = T.StructType(
+    [f for f in LAKE_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
+    + [T.StructField("run", T.IntegerType()), T.StructField("batch_id", T.LongType()),
+       T.StructField("source", T.StringType()), T.StructField("scraped_month", T.StringType())])
 
 
 def read_lake(spark: SparkSession, lake_path: str) -> DataFrame:
-    """All batches of the lake, with batch_id / source / scraped_month columns.
+    """All batches of the lake, with run / batch_id / source / scraped_month columns.
 
     A lake with no batch yet reads as empty (same columns), not as an error.
     """
-    try:
-        return (spark.read.option("basePath", lake_path)
-                .parquet(f"{lake_path}/batch_id=*"))
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        schema = T.StructType(
-            [f for f in LAKE_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
-            + [T.StructField("batch_id", T.IntegerType()), T.StructField("source", T.StringType()),
-               T.StructField("scraped_month", T.StringType())])
-        return spark.createDataFrame([], schema)
+    return read_or_empty(spark, f"{lake_path}/run=*/batch_id=*", STORED_SCHEMA, base=lake_path)
 
 
 def lake_current(df: DataFrame, key: Sequence[str] = tuple(LAKE_KEY),
-                 version: str = "batch_id") -> DataFrame:
-    """Last write wins per key: the row of the highest `version`.
+                 version: Sequence[str] = VERSION) -> DataFrame:
+    """Last write wins per key: the row of the highest `version`, compared in order.
 
-    A hash aggregate of `max(struct(version, ...))` -- partial per map task,
-    so a hot key never sorts in one task. Ties within one version are broken
-    by the remaining columns, so the result is deterministic.
+    An aggregate of `max(struct(version, ...))`: partial per map task, so a
+    hot key never meets in one task as rows. The buffer is a struct, so Spark
+    sorts instead of hashing: select the columns that are needed first. Ties
+    within one version are broken by the remaining columns.
     """
-    key = list(key)
-    rest = [c for c in df.columns if c not in key and c != version]
-    w = F.max(F.struct(F.col(version), *[F.col(c) for c in rest])).alias("_w")
-    out = df.groupBy(*key).agg(w)
-    return out.select(*[F.col(k) for k in key], F.col(f"_w.{version}").alias(version),
-                      *[F.col(f"_w.{c}").alias(c) for c in rest])
+    key, order = list(key), [c for c in version if c in df.columns]
+    rest = [c for c in df.columns if c not in key and c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("_w")
+    return df.groupBy(*key).agg(newest).select(
+        *key, *(F.col(f"_w.{c}").alias(c) for c in [*order, *rest]))
+
+
+def after(run: int, batch_id: int) -> Column:
+    """Rows of batches later than this one; both are folders, so the scan prunes."""
+    return (F.col("run") > run) | ((F.col("run") == run) & (F.col("batch_id") > batch_id))
+
+
+def latest_batch(spark: SparkSession, lake_path: str) -> tuple[int, int]:
+    """(run, batch_id) of the newest batch with rows; (-1, -1) for an empty lake."""
+    newest = read_lake(spark, lake_path).agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"]
+    return (-1, -1) if newest is None else tuple(newest)
 
 
 def snapshot_current(spark: SparkSession, lake_path: str, snapshot_path: str,
-                     upto_batch: int) -> str:
-    """Compact: write the current view of batches <= upto_batch as a table.
+                     upto: tuple[int, int], snapshot: str | None = None,
+                     since: tuple[int, int] | None = None) -> str:
+    """Compact: write the current view of the batches up to `upto` as a table.
 
-    Returns the snapshot folder. Later reads combine it with newer batches
-    only (`read_current`), so the upsert no longer re-reads the whole lake
-    history; the written table also cuts the lineage. Old batch folders can
-    then be expired by retention without changing any result.
+    With an earlier `snapshot` and the batch it goes to (`since`), only later
+    batches are read. Returns the snapshot folder. Old batch folders can be
+    expired by retention without changing any result.
     """
-    lake = read_lake(spark, lake_path).filter(F.col("batch_id") <= upto_batch)
-    cur = lake_current(lake.drop("scraped_month"))
-    out = f"{snapshot_path}/upto={upto_batch}"
-    (lake_layout(cur).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(out))
+    current = read_current(spark, lake_path, snapshot, since).filter(~after(*upto))
+    out = f"{snapshot_path}/run={upto[0]}-batch={upto[1]}"
+    (with_scraped_month(current).hint("rebalance", *PARTITION_COLUMNS)
+     .sortWithinPartitions(*storage_order())
+     .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(out))
     return out
 
 
 def read_current(spark: SparkSession, lake_path: str, snapshot: str | None = None,
-                 upto_batch: int | None = None) -> DataFrame:
+                 upto: tuple[int, int] | None = None) -> DataFrame:
     """Current view = last write wins over (snapshot + batches after it).
 
-    The `batch_id > upto_batch` filter prunes the older batch folders.
+    The filter on run and batch prunes the older batch folders.
     """
     batches = read_lake(spark, lake_path).drop("scraped_month")
     if snapshot is None:
         return lake_current(batches)
-    newer = batches.filter(F.col("batch_id") > F.lit(upto_batch))
-    base = spark.read.parquet(snapshot).drop("scraped_month")
-    return lake_current(base.unionByName(newer.select(*base.columns)))
+    base = spark.read.schema(STORED_SCHEMA).parquet(snapshot).drop("scraped_month")
+    return lake_current(base.unionByName(batches.filter(after(*upto))))

@@ -145,26 +145,44 @@ HOST = r"nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]+
 PAGE = r"COALESCE(TRY_CAST(NULLIF(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS INTEGER), 1)"
 
 
+def plain_sql(x: str) -> str:
+    """Text of markup: no tags, entities decoded, white space collapsed and trimmed."""
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for entity, character in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("apos", "''"),
+                              ("amp", "&")):
+        x = f"replace({x}, '&{entity};', '{character}')"
+    return jtrim(collapse(x))
+
+
+VISIBLE = (r"regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', "
+           "'', 'g')")
+
+
 def _all_text(pattern: str) -> str:
-    return (f"list_transform(regexp_extract_all(html, '{pattern}', 1), "
-            "lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g')))")
+    return f"list_transform(regexp_extract_all({VISIBLE}, '{pattern}', 1), lambda x: {plain_sql('x')})"
 
 
 def _field(pattern: str) -> str:
-    return f"nullif(trim(regexp_replace(regexp_extract(html, '{pattern}', 1), '<[^>]*>', '', 'g')), '')"
+    return f"nullif({plain_sql(f'regexp_extract({VISIBLE}, {chr(39)}{pattern}{chr(39)}, 1)')}, '')"
+
+
+H1 = r"(?s)<h1(?:\s[^>]*)?>(.*?)</h1>"
+TITLE = r"(?s)<title(?:\s[^>]*)?>(.*?)</title>"
+LI = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"
+P = r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"
 
 
-H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
-TITLE = r"(?s)<title[^>]*>(.*?)</title>"
-LI = r"(?s)<li[^>]*>(.*?)</li>"
-P = r"(?s)<p[^>]*>(.*?)</p>"
+def shown(x: str) -> str:
+    """A source column as a page shows it."""
+    return f"nullif({jtrim(collapse(x))}, '')"
+
 
 def keywords_sql(docs: str, prelude: str = "", id_out: str = "doc_id", kw_out: str = "keywords") -> str:
     """TF-IDF top 3 per document of `docs(doc_id, text)` (raw-count tf)."""
     return prelude + rf"""
 toks AS (
   SELECT doc_id AS doc,
-         list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda t: length(t) >= 2) AS toks
+         list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}+#]+'), lambda t: regexp_matches(t, '[\p{{L}}\p{{N}}]')) AS toks
   FROM {docs}),
 ex AS (SELECT doc, unnest(toks) AS term FROM toks),
 tf AS (SELECT doc, term, count(*) AS n FROM ex GROUP BY doc, term),
@@ -186,6 +204,11 @@ GROUP BY category, unit""",
 
     "ingest_parse": _with(JOBS, LAKE) + f"SELECT {LAKE_OUT} FROM lake",
 
+    "ingest_counts": _with(JOBS) + """
+SELECT count(*) + count(*) FILTER (k <= 2) AS received, count(*) FILTER (k <= 1) AS rejected,
+       count(*) FILTER (k = 2) AS quarantined, count(*) AS written
+FROM (SELECT CAST(job_id AS BIGINT) % 50 AS k FROM jobs)""",
+
     "event_props": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 
     "publish_envelope": _with(JOBS, RECORDS) + """
@@ -212,7 +235,8 @@ FROM rec r JOIN jobs j ON r.jobId = j.job_id""",
     "date_parse": _with(JOBS, RECORDS) + """
 SELECT jobId AS job_id, postedAt, expiredAt,
        try_strptime(postedAt, '%d/%m/%Y') AS posted_at, try_strptime(expiredAt, '%d/%m/%Y') AS expired_at
-FROM rec""",
+FROM (SELECT * REPLACE (CASE CAST(jobId AS BIGINT) % 9 WHEN 0 THEN '31/02/2024' WHEN 1 THEN 'soon' WHEN 2 THEN ''
+      ELSE postedAt END AS postedAt) FROM rec)""",
 
     "date_reformat": _with(JOBS, LAKE) + """
 SELECT job_id, strftime(posted_at, '%m/%d/%Y') AS posted_mdy,
@@ -289,6 +313,26 @@ FROM (SELECT *, row_number() OVER (PARTITION BY source, scraped_at, job_id ORDER
             SELECT job_id, source, scraped_at, title || ' (updated)', CAST(1 AS BIGINT) FROM lake))
 WHERE rn = 1""",
 
+    "lake_newer": _with(JOBS, LAKE) + """
+SELECT job_id, source, title, scraped_at, CAST(1 AS BIGINT) AS batch_id
+FROM lake WHERE CAST(job_id AS BIGINT) % 3 = 0""",
+
+    "page_postings": _with(JOBS, RECORDS) + f"""
+SELECT r.jobId AS job_id, r.url, r.source, {shown('r.title')} AS title, {shown('r.company')} AS company,
+       {shown('r.location')} AS location, {shown('r.salary')} AS salary, {shown('r.category')} AS category,
+       r.postedAt AS posted_at, r.expiredAt AS expired_at, {shown('r.skill')} AS skill
+FROM rec r""",
+
+    "stream_dedup": _with(JOBS) + f"""
+SELECT set_start, dedup_key, arrived_at, job_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY set_start, dedup_key
+                               ORDER BY arrived_at, job_id) AS rn FROM (
+    SELECT to_timestamp(s)::TIMESTAMP AS arrived_at, to_timestamp(s // 60 * 60)::TIMESTAMP AS set_start, job_id,
+           {key_sql('title', 'url')} AS dedup_key
+    FROM (SELECT *, unnest(CASE WHEN CAST(job_id AS BIGINT) % 4 = 0 THEN [CAST(job_id AS BIGINT) // 5,
+                 CAST(job_id AS BIGINT) // 5 + 20] ELSE [CAST(job_id AS BIGINT) // 5] END) AS s FROM jobs)))
+WHERE rn = 1""",
+
     "cap_per_group": f"""
 SELECT host, CAST(page AS BIGINT) AS page, page_id, pos
 FROM (SELECT host, page, page_id, row_number() OVER (PARTITION BY host, page ORDER BY page_id) AS pos

@@ -23,7 +23,9 @@ LISTING_MAX_PAGES = 5
 LISTING_PER_PAGE = 2
 KEYWORDS_PER_DOC = 3
 UPDATED_TITLE_SUFFIX = " (updated)"
+STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 4
+ARRIVALS_PER_SECOND = 5
 
 
 def _jobs(spark, sf_dir):
@@ -65,10 +67,28 @@ def category_salary(spark, sf_dir):
 
 # ----------------------------------------------------- ingest and publish
 
+def _messages(spark, sf_dir) -> DataFrame:
+    """The jobs' messages as binary values, with broken ones among them: truncated
+    JSON, JSON without an id, and records without a source."""
+    jobs = _jobs(spark, sf_dir)
+    kind = F.col("job_id").cast("bigint") % 50
+    broken = F.when(kind == 0, F.concat(F.lit('{"jobId": "'), "job_id")) \
+        .when(kind == 1, F.lit('{"title": "no id"}')) \
+        .when(kind == 2, F.concat(F.lit('{"jobId": "q'), "job_id", F.lit('", "source": "", "createdAt": [2024,1,1,1,1]}')))
+    return (_envelope(spark, sf_dir).select("value")
+            .unionByName(jobs.select(broken.alias("value")).filter("value IS NOT NULL"))
+            .select(F.col("value").cast("binary").alias("value")))
+
+
 def ingest_parse(spark, sf_dir):
-    """jobs -> wire JSON messages (binary values) -> parsed lake rows."""
-    messages = _envelope(spark, sf_dir).select(F.col("value").cast("binary").alias("value"))
-    return _lake_out(O.parse_records(messages))
+    """Wire JSON messages, good and broken, -> parsed lake rows with a complete key."""
+    good, _ = O.split_quarantine(O.parse_records(_messages(spark, sf_dir)))
+    return _lake_out(good)
+
+
+def ingest_counts(spark, sf_dir):
+    """Messages received, rejected (no id), quarantined (incomplete key) and written."""
+    return O.ingest_counts(_messages(spark, sf_dir))
 
 
 def event_props(spark, sf_dir):
@@ -108,6 +128,9 @@ def scraped_at_parts(spark, sf_dir):
 def date_parse(spark, sf_dir):
     """Wire `dd/MM/yyyy` dates -> timestamps (bad text -> null)."""
     rec = S.jobs_as_records(_jobs(spark, sf_dir))
+    kind = F.col("jobId").cast("bigint") % 9
+    rec = rec.withColumn("postedAt", F.when(kind == 0, "31/02/2024").when(kind == 1, "soon")
+                         .when(kind == 2, "").otherwise(F.col("postedAt")))
     return rec.select(F.col("jobId").alias("job_id"), "postedAt", "expiredAt",
                       J.parse_wire_date("postedAt").alias("posted_at"),
                       J.parse_wire_date("expiredAt").alias("expired_at"))
@@ -257,13 +280,24 @@ def lake_layout(spark, sf_dir):
 def lake_current(spark, sf_dir):
     """Two idempotent batch writes (batch 1 retitles every row) -> current view."""
     path = run_dir(spark, "lake_current") + "/lake"
-    lake = _lake(spark, sf_dir)
+    lake = _lake(spark, sf_dir).select("job_id", "source", "scraped_at", "title")
     O.write_lake_batch(lake, 0, path)
     O.write_lake_batch(lake.withColumn("title", F.concat("title", F.lit(UPDATED_TITLE_SUFFIX))),
                        1, path)
-    cur = O.lake_current(O.read_lake(spark, path).drop("scraped_month"))
-    return cur.select("job_id", "source", "scraped_at", "title",
-                      F.col("batch_id").cast("bigint").alias("batch_id"))
+    stored = O.read_lake(spark, path).select("job_id", "source", "scraped_at", "title", "run", "batch_id")
+    return O.lake_current(stored).select("job_id", "source", "scraped_at", "title", "batch_id")
+
+
+def lake_newer(spark, sf_dir):
+    """Incremental load by lake batch: a late batch brings every third posting, whatever
+    its time stamp; it is read alone, by folder, after a snapshot of what was there."""
+    path = run_dir(spark, "lake_newer")
+    lake, late = _lake(spark, sf_dir), F.col("job_id").cast("bigint") % 3 == 0
+    O.write_lake_batch(lake.filter(~late), 0, f"{path}/lake")
+    loaded = O.latest_batch(spark, f"{path}/lake")
+    O.write_lake_batch(lake.filter(late), 1, f"{path}/lake")
+    newer = O.read_lake(spark, f"{path}/lake").filter(O.after(*loaded))
+    return O.lake_current(newer).select("job_id", "source", "title", "scraped_at", "batch_id")
 
 
 # ------------------------------------------------------------------ pages
@@ -281,6 +315,47 @@ def page_fields(spark, sf_dir):
     return O.page_fields(S.load_table(spark, sf_dir, "pages"))
 
 
+def _rendered_pages(spark, sf_dir) -> DataFrame:
+    """A detail page per posting, in its source's form, with what real pages put around
+    the fields: links, comments, scripts, nested blocks, entities, line ends."""
+    rec = S.jobs_as_records(_jobs(spark, sf_dir))
+
+    def shown(name):
+        text = F.coalesce(F.col(name), F.lit(""))
+        for character, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            text = F.replace(text, F.lit(character), F.lit(entity))
+        return text
+
+    def page(*parts):
+        return F.concat(*(shown(p[1:]) if p.startswith("=") else F.lit(p) for p in parts))
+
+    head = ('<html><head><link rel="icon" href="/li"><style>p { color: red }</style><script>"<h1>no</h1>"</script>'
+            "</head><body><!-- <label>NGÀY ĐĂNG</label><p>no</p> --><pre>no</pre><ul><li>Menu</li></ul>")
+    labels = page(
+        head, '<h1 name="title">\n ', "=title", '\n</h1><a class="company" href="#">', "=company",
+        '</a><span class="info">', "=expire_text", '</span><span class="info">x</span><span class="info"> ', "=location",
+        ' </span><span class="salary"><b>', "=salary", "</b></span>",
+        "<div><label> NGÀY ĐĂNG </label><div><div><p>no</p></div></div><p>", "=postedAt", "</p></div>",
+        "<div><label>NGÀNH NGHỀ</label> <i>x</i><p><a>", "=category", "</a></p></div>",
+        "<div><label>KỸ NĂNG</label>", "<p>", "=skill", "</p></div><p>end</p></body></html>")
+    boxes = page(
+        head, '<h1 class="title">', "=title", '</h1><a class="employer job" href="#">', "=company",
+        '</a><div class="map"><b>x</b><p><a>', "=location", "</a></p></div><div class='box'><ul><li><b>Ngày cập nhật</b><p>",
+        "=postedAt", "</p></li><li>Ngành nghề: <a>", "=category", "</a><a>other</a></li></ul></div><div><ul><li>Lương<p> ",
+        "=salary", "</p></li><li>Hết hạn nộp <p>", "=expiredAt",
+        '</p></li></ul></div><div class="detail-row x"><h2>Yêu Cầu Công Việc</h2><ul><li>', "=skill",
+        "</li></ul></div><p>end</p></body></html>")
+    texts = _jobs(spark, sf_dir).select(F.col("job_id").alias("_id"), "expire_text")
+    form = F.when(F.col("source") == "VietnamWorks", labels).otherwise(boxes)
+    return rec.join(texts, F.col("jobId") == F.col("_id")).select(
+        F.col("jobId").alias("job_id"), "url", "source", form.alias("html"))
+
+
+def page_postings(spark, sf_dir):
+    """The fields of every posting, taken back from its detail page."""
+    return O.page_postings(_rendered_pages(spark, sf_dir), label_source="VietnamWorks")
+
+
 def top_keywords(spark, sf_dir):
     """Top 3 TF-IDF terms of every document."""
     return O.top_keywords(S.load_table(spark, sf_dir, "documents"), k=KEYWORDS_PER_DOC)
@@ -315,27 +390,41 @@ def stream_ingest(spark, sf_dir):
     return _lake_out(cur)
 
 
-def stream_dedup(spark, sf_dir):
-    """JSON-lines stream -> parse -> dedup within 60 s of event time."""
+def _stage_arrivals(spark, sf_dir, base: str) -> str:
+    """Messages with arrival times, as STREAM_FILES files in the order of arrival. Every
+    fourth posting is sent twice, 20 s apart; jobs arrive in the order of their numbers."""
+    jobs = _jobs(spark, sf_dir)
+    second = F.floor(F.col("job_id").cast("bigint") / ARRIVALS_PER_SECOND)
+    sent = F.when(F.col("job_id").cast("bigint") % 4 == 0, F.array(second, second + 20)).otherwise(F.array(second))
+    arrivals = jobs.withColumn("second", F.explode(sent)).select(
+        F.timestamp_seconds(F.col("second")).alias("arrived_at"), "job_id", "title", "url")
+    last = arrivals.agg(F.max(F.unix_seconds("arrived_at"))).first()[0] or 0
+    path, step = f"{base}/arrivals", last // STREAM_FILES + 1
+    for k in range(STREAM_FILES):
+        part = F.floor(F.unix_seconds("arrived_at") / step) == k
+        arrivals.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def dedup_stream(spark, sf_dir, files_per_trigger: int = STREAM_FILES_PER_TRIGGER) -> DataFrame:
+    """Accepted keys of the staged arrivals, `files_per_trigger` files in a batch."""
     base = run_dir(spark, "stream_dedup")
-    src = _stage_messages(spark, sf_dir, base)
-    rows = ST.parsed_stream(spark, "text", {"maxFilesPerTrigger": str(STREAM_FILES_PER_TRIGGER)},
-                            path=src)
-    deduped = ST.stream_dedup(rows).select("dedup_key", "job_id", "scraped_at")
-    out = f"{base}/out"
-    q = (deduped.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    try:
-        q.awaitTermination()
-    finally:
-        q.stop()
-    return spark.read.parquet(out)
+    src = _stage_arrivals(spark, sf_dir, base)
+    rows = S.read_stream(spark, "parquet", {"maxFilesPerTrigger": str(files_per_trigger)}, path=src,
+                         schema="arrived_at timestamp, job_id string, title string, url string")
+    accepted = ST.stream_dedup(rows, f"{base}/accepted", f"{base}/checkpoint")
+    return accepted.select("set_start", "dedup_key", "arrived_at", "job_id")
+
+
+def stream_dedup(spark, sf_dir):
+    """Stream of messages -> each key's first arrival in its 60-second set."""
+    return dedup_stream(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_salary": category_salary,
     "ingest_parse": ingest_parse,
+    "ingest_counts": ingest_counts,
     "event_props": event_props,
     "publish_envelope": publish_envelope,
     "skill_split": skill_split,
@@ -361,8 +450,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_sources": merge_sources,
     "lake_layout": lake_layout,
     "lake_current": lake_current,
+    "lake_newer": lake_newer,
     "cap_per_group": cap_per_group,
     "page_fields": page_fields,
+    "page_postings": page_postings,
     "top_keywords": top_keywords,
     "page_skills": page_skills,
     "stream_ingest": stream_ingest,

@@ -2,7 +2,11 @@
 
 collect -> seen check (per-day key set, anti join) -> publish (message
 files, or Kafka when configured) -> record keys as seen -> stream ingest into
-the lake -> incremental mart load from the lake's current view -> rollups.
+the lake -> mart load of the lake's new batches -> rollups.
+
+The seen set of a run is a day's, kept in files and recorded after its messages
+are written. The collectors' 60-second expiry belongs to a stream of arrivals:
+`streaming.stream_dedup` has it, for callers that publish continuously.
 
 Every step is restartable: published messages are read back by a
 checkpointed stream, each micro-batch overwrites its own lake folder, the
@@ -22,20 +26,12 @@ from .. import functions as J
 from .. import operators as O
 from .. import sources as S
 from .. import streaming as ST
+from ..schema import MART_COLUMNS, MART_SCHEMA
 from ..session import run_dir
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, day=None,
-            default_mark: str = O.DEFAULT_MARK, kafka: dict | None = None) -> dict:
+            kafka: dict | None = None) -> dict:
     """Run every stage once over collected `records` (wire-record columns).
 
     `work` is the run's folder on shared storage (default: a new folder under
@@ -52,7 +48,7 @@ def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, da
     # Seen check and set add: the first record per (day, key) wins; keys
     # already seen today are skipped.
     keyed = records.withColumns({"dedup_key": J.dedup_key("title", "url"), "day": day_col})
-    seen = _read_or_empty(spark, seen_path, "dedup_key string, day date")
+    seen = O.read_or_empty(spark, seen_path, "dedup_key string, day date")
     fresh = O.dedup_batch(O.drop_seen(keyed, seen, keys=["day", "dedup_key"]),
                           keys=["day", "dedup_key"], order=("jobId",), count_col=None)
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
@@ -75,28 +71,49 @@ def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, da
                                                                      kafka["topic"]), None
     else:
         src_fmt, src_opts, src_path = "text", {}, topic
-    progress = []
+    counts = []
     if kafka or n_published or _exists(spark, topic):
-        progress = ST.stream_ingest(spark, src_fmt, src_opts, lake, f"{work}/checkpoints/ingest",
-                                    path=src_path)
-
-    # Incremental mart load from the lake's current view.
-    current = O.read_current(spark, lake).drop("batch_id")
-    mart_now = _read_or_empty(spark, mart, "scraped_at string")
-    n_mart = O.run_incremental(current, mart_now, O.parquet_mart_sink(mart),
-                               partition_month_col=None, default_mark=default_mark)
+        counts = ST.stream_ingest(spark, src_fmt, src_opts, lake, f"{work}/checkpoints/ingest",
+                                  path=src_path)
 
-    mart_df = _read_or_empty(spark, mart, "location string, category string")
+    n_mart = load_mart(spark, lake, mart, f"{work}/loaded")
+    mart_df = O.read_or_empty(spark, mart, MART_SCHEMA)
     return {
         "work": work,
         "published": n_published,
-        "ingested": sum(p["numInputRows"] for p in progress),
+        **{k: sum(c[k] for c in counts) for k in ("received", "rejected", "quarantined")},
+        "ingested": sum(c["written"] for c in counts),
         "mart_rows_written": n_mart,
         "location_count": O.location_count(mart_df),
         "category_count": O.category_count(mart_df, clean=False),
     }
 
 
+def load_mart(spark: SparkSession, lake: str, mart: str, loaded: str) -> int:
+    """Append what the lake got since the last load; returns the rows written.
+
+    New is what lies in later batch folders, whatever its time stamp, so a
+    posting that arrives late is not passed over, and older folders are not
+    read. Postings whose key the mart holds are repeats. `loaded` has a row
+    per load; a load that dies before its row is repeated, without repeats.
+    """
+    last = O.read_or_empty(spark, loaded, "run int, batch_id long") \
+        .agg(F.max(F.struct("run", "batch_id")).alias("v")).first()["v"]
+    newest = O.latest_batch(spark, lake)
+    since = (-1, -1) if last is None else tuple(last)
+    if newest == since:
+        return 0
+    fresh = O.lake_current(O.read_lake(spark, lake).filter(O.after(*since) & ~O.after(*newest))
+                           .drop("scraped_month")).drop("run", "batch_id")
+    rows = O.mart_clean(fresh)
+    held = O.read_or_empty(spark, mart, MART_SCHEMA).select("source", "scraped_at", "job_id")
+    out, seen = O.with_row_count(rows.join(held, ["source", "scraped_at", "job_id"], "left_anti")
+                                 .select(*MART_COLUMNS), "mart_rows")
+    O.parquet_mart_sink(mart)(out)
+    spark.createDataFrame([newest], "run int, batch_id long").coalesce(1).write.mode("append").parquet(loaded)
+    return int(seen.get["rows"])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path).limit(0).collect()
@@ -109,7 +126,7 @@ def main(argv: list[str] | None = None) -> dict:
     """Command line: run everything once over the postings view of a table folder.
 
     python -m jobtide.plans.runner --sf-dir /root/testdata/sf0.01 [--work DIR] [--day YYYY-MM-DD]
-        [--default-mark "yyyy-MM-dd HH:mm:ss"] [--kafka-bootstrap HOST:PORT --kafka-topic NAME]
+        [--kafka-bootstrap HOST:PORT --kafka-topic NAME]
     """
     import argparse
     import json
@@ -120,7 +137,6 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--work")
     ap.add_argument("--day")
-    ap.add_argument("--default-mark", default=O.DEFAULT_MARK)
     ap.add_argument("--kafka-bootstrap")
     ap.add_argument("--kafka-topic")
     args = ap.parse_args(argv)
@@ -129,10 +145,11 @@ def main(argv: list[str] | None = None) -> dict:
              if args.kafka_bootstrap and args.kafka_topic else None)
     records = S.jobs_as_records(S.jobs(spark, args.sf_dir))
     out = run_all(spark, records, work=args.work, day=args.day,
-                  default_mark=args.default_mark, kafka=kafka)
+                  kafka=kafka)
     summary = {k: v for k, v in out.items() if not isinstance(v, DataFrame)}
-    summary["location_count"] = [r.asDict() for r in out["location_count"].collect()]
-    summary["category_count"] = [r.asDict() for r in out["category_count"].collect()]
+    for name in ("location_count", "category_count"):  # free text: a row per value, so to files
+        summary[name] = f"{out['work']}/{name}"
+        out[name].write.mode("overwrite").parquet(summary[name])
     print(json.dumps(summary, ensure_ascii=False))
     return summary
 

@@ -63,10 +63,3 @@ MART_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("scraped_at", T.StringType()),
 ])
-
-SALARY_TYPE = T.StructType([
-    T.StructField("low", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("avg", T.DoubleType()),
-    T.StructField("unit", T.StringType()),
-])

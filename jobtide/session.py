@@ -6,7 +6,6 @@ not already set, so a cluster's own `spark-defaults.conf` stays in charge.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,14 +49,17 @@ def get_spark(app_name: str = "jobtide", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Folder on shared storage for checkpoints, stream state and staged tables.
 
-    Reads `spark.checkpoint.dir` (or the context's checkpoint dir). Only when
-    neither is set -- local tests -- a fresh temporary folder is created and
-    registered as the checkpoint dir.
+    Reads `spark.checkpoint.dir` (or the context's checkpoint dir). Where neither
+    is set, a local master gets a fresh temporary folder, registered as the
+    checkpoint dir; on a cluster that is an error, as each executor would write
+    to a disk of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="jobtide-")
         spark.sparkContext.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -68,8 +70,4 @@ def run_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared dir for one run of `name`."""
     base = shared_dir(spark)
     sub = f"{name}-{uuid.uuid4().hex[:12]}"
-    if "://" in base and not base.startswith("file:"):
-        return f"{base}/{sub}"
-    local = base[len("file:"):] if base.startswith("file:") else base
-    path = os.path.join(local, sub)
-    return path
+    return f"{base}/{sub}"

@@ -20,21 +20,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Shared by Spark and the DuckDB oracle (where `orders` is a registered view).
 JOBS_SQL = """
 SELECT CAST(o_orderkey AS STRING) AS job_id,
- concat('  Data   Engineer ', CAST(o_custkey % 7 AS STRING)) AS title,
- concat('Company ', CAST(o_custkey AS STRING)) AS company,
+ CASE o_orderkey % 4 WHEN 1 THEN concat('K\u1ef9  s\u01b0 ', CAST(o_custkey % 7 AS STRING))
+  WHEN 3 THEN concat('Ky\u0303 su\u031b\t', CAST(o_custkey % 7 AS STRING))
+  ELSE concat('  Data   Engineer ', CAST(o_custkey % 7 AS STRING)) END AS title,
+ concat(CASE o_custkey % 3 WHEN 0 THEN 'R&D "Lab" <' ELSE 'Company ' END, CAST(o_custkey AS STRING)) AS company,
  CASE o_orderkey % 4 WHEN 0 THEN 'Hồ Chí Minh' WHEN 1 THEN 'Hà Nội' WHEN 2 THEN 'Hết hạn trong 3 ngày' ELSE 'Đà Nẵng' END AS location,
- CASE o_orderkey % 10 WHEN 0 THEN '25 Tr - 35 Tr VND' WHEN 1 THEN 'Thương lượng' WHEN 2 THEN '$1,000 - $2,000 /tháng'
+ CASE o_orderkey % 12 WHEN 0 THEN '25 Tr - 35 Tr VND' WHEN 1 THEN 'Thương lượng' WHEN 2 THEN '$1,000 - $2,000 /tháng'
   WHEN 3 THEN 'Trên 20 triệu' WHEN 4 THEN 'Dưới 10 triệu' WHEN 5 THEN '15 Tr VND' WHEN 6 THEN 'Cạnh tranh'
-  WHEN 7 THEN NULL WHEN 8 THEN 'Tới 1.5 triệu' ELSE 'hoa hồng' END AS salary,
+  WHEN 7 THEN NULL WHEN 8 THEN 'Tới 1.5 triệu'
+  WHEN 9 THEN '20,000,000 VND' WHEN 10 THEN '' ELSE 'hoa hồng' END AS salary,
  CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'Python,  SQL, Spark' END AS skill,
  CASE o_orderkey % 5 WHEN 0 THEN '> IT - Phần mềm / Data' WHEN 1 THEN 'Marketing, Sales' WHEN 2 THEN ' - ' WHEN 3 THEN NULL
   ELSE 'Kế toán|Kiểm toán' END AS category,
- CASE o_orderkey % 4 WHEN 0 THEN 'Hết hạn trong 10 ngày' WHEN 1 THEN 'Hết hạn trong 1 tháng' WHEN 2 THEN 'Hết hạn trong 2 tuần'
+ CASE o_orderkey % 7 WHEN 5 THEN NULL WHEN 6 THEN '' WHEN 0 THEN 'Hết hạn trong 10 ngày' WHEN 1 THEN 'Hết hạn trong 1 tháng' WHEN 2 THEN 'Hết hạn trong 2 tuần'
   ELSE 'Không rõ' END AS expire_text,
  o_orderdate AS posted_at,
- concat('https://jobs.example/', CAST(o_orderkey % 5000 AS STRING)) AS url,
+ concat(CASE o_orderkey % 5 WHEN 2 THEN 'HTTPS://Jobs.Example/' ELSE 'https://jobs.example/' END, CAST(o_orderkey % 5000 AS STRING)) AS url,
  CASE o_orderkey % 3 WHEN 0 THEN 'VietnamWorks' ELSE 'Careerviet' END AS source,
- o_orderdate AS scraped_at
+ o_orderdate + INTERVAL '1' SECOND * (CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 60 * (o_orderkey % 1440)
+  ELSE o_orderkey % 86400 END) AS scraped_at
 FROM orders
 """
 
@@ -46,25 +50,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a DataFrame whose scan has fewer partitions than the cluster
-    has cores (e.g. one large row group), so row-wise work runs in parallel.
-
-    A no-op for big inputs, whose scans already have many splits; filters and
-    column pruning still reach the scan below the repartition.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(target) if have < target else df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """One given table; small single-split files are spread over the cores."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if balance else df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table; its splits (`spark.sql.files.maxPartitionBytes`) are the parallelism."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,36 +1,68 @@
-"""Streaming dedup with expiry: a key repeated inside the window is suppressed.
-
-`dropDuplicatesWithinWatermark` keeps the first row per key and holds the
-key in state until the event-time watermark passes its time plus the delay,
-so each key is suppressed for at least `delay` after its first arrival.
-Expired keys are evicted at the end of a micro-batch that runs with the
-advanced watermark, so a repeat can be suppressed a little longer. The
-source system kept one day-wide set whose 60 s lifetime started at its first
-add and dropped all keys at once (a key could be suppressed for anywhere
-from 0 to 60 s); per-key expiry is used instead because one shared set is a
-single hot key that cannot spread over executors.
+"""Streaming dedup with expiry: a key is published once per 60-second set of arrivals.
+
+The source system kept one set of published keys that expired as a whole, 60 s
+after its first add. Here a set is the fixed 60-second interval of the *arrival*
+time in which a message came (the broker's or the collector's clock, a column
+of the source), so what is accepted does not depend on how the stream is cut
+into batches: a key is accepted at its first arrival in a set and suppressed
+for the rest of it. The posting's own event time plays no part, there is no
+watermark, and so a key that was not seen is never lost, however late it comes.
+
+Accepted keys are a table, one folder per micro-batch: each batch is reduced to
+the first arrival per (set, key), joined against the sets it touches, and what
+is left is appended under its batch number (a replayed batch replaces its own
+folder and does not see it). No key ever meets in one task as rows: the
+reduction is a partial aggregate. Sets older than the retention can be deleted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import with_dedup_key
+from ..operators.lake import read_or_empty
+
+EXPIRY_SECONDS = 60
+ACCEPTED = "set_start timestamp, dedup_key string, arrived_at timestamp, job_id string, batch_id long"
+
 
+def set_start(arrived: Column, seconds: int = EXPIRY_SECONDS) -> Column:
+    """Start of the set of keys that an arrival belongs to."""
+    return F.timestamp_seconds(F.floor(F.unix_micros(arrived) / (seconds * 1_000_000)) * seconds)
 
-def stream_dedup(rows: DataFrame, ts_col: str = "scraped_at", delay: str = "60 seconds",
-                 keys: Sequence[str] = ("dedup_key",)) -> DataFrame:
-    """Streaming (or batch) rows -> rows whose key was not seen within `delay`.
 
-    A batch DataFrame is one micro-batch with no watermark progress, so it
-    keeps one row per key (`dropDuplicates`).
-    """
+def first_arrivals(rows: DataFrame, seconds: int = EXPIRY_SECONDS) -> DataFrame:
+    """(set_start, dedup_key, arrived_at, job_id): the first arrival per set and key."""
     if "dedup_key" not in rows.columns:
         rows = with_dedup_key(rows, ts=None)
-    rows = rows.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    if not rows.isStreaming:
-        return rows.dropDuplicates(list(keys))
-    return rows.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    return (rows.withColumn("set_start", set_start(F.col("arrived_at"), seconds))
+            .groupBy("set_start", "dedup_key")
+            .agg(F.min(F.struct("arrived_at", "job_id")).alias("first"))
+            .select("set_start", "dedup_key", "first.*"))
+
+
+def accepted_keys(spark: SparkSession, path: str) -> DataFrame:
+    """What the stream has accepted so far."""
+    return read_or_empty(spark, path, ACCEPTED)
+
+
+def stream_dedup(rows: DataFrame, accepted_path: str, checkpoint: str,
+                 seconds: int = EXPIRY_SECONDS) -> DataFrame:
+    """Drain streaming `rows` (with `arrived_at`) and return the accepted keys."""
+    def accept(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = first_arrivals(batch, seconds)
+        before = accepted_keys(spark, accepted_path).filter(F.col("batch_id") != batch_id)
+        (new.join(before.select("set_start", "dedup_key"), ["set_start", "dedup_key"], "left_anti")
+         .write.mode("overwrite").parquet(f"{accepted_path}/batch_id={batch_id}"))
+
+    none = rows.sparkSession.createDataFrame([], ACCEPTED)
+    none.drop("batch_id").write.mode("ignore").parquet(f"{accepted_path}/batch_id=-1")
+    query = (rows.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return accepted_keys(rows.sparkSession, accepted_path)

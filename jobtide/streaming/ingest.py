@@ -1,7 +1,7 @@
 """Streaming ingest: message stream -> parsed lake rows -> per-batch lake folders.
 
 readStream (kafka by config; a folder of JSON lines in tests) -> the same
-parse as batch -> foreachBatch writing `<lake>/batch_id=N` in overwrite mode.
+parse as batch -> foreachBatch writing `<lake>/run=R/batch_id=N` in overwrite mode.
 The checkpoint records offsets, so a restarted run resumes where it stopped,
 and a replayed batch rewrites its own folder instead of adding rows twice.
 """
@@ -11,10 +11,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.ingest import parse_records
-from ..operators.lake import write_lake_batch
+from ..operators.ingest import all_records, count_columns, parse_records
+from ..operators.lake import run_of, write_lake_batch
 from ..sources.connectors import read_stream
 
 log = logging.getLogger(__name__)
@@ -27,33 +28,40 @@ def parsed_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
     return parse_records(raw, "value", strict_seconds)
 
 
-def lake_batch_writer(lake_path: str, num_partitions: int | None = None):
+def lake_batch_writer(lake_path: str, counts: list | None = None):
     """foreachBatch function: write the micro-batch into its own lake folder.
 
-    Rows per batch are in the query's progress (`lastProgress.numInputRows`),
-    so no extra count runs here. write_lake_batch persists the batch for its
-    passes; a lost cached block is recomputed from the batch's fixed offsets.
+    The folder is named after the stream's run in this lake and the batch. The
+    batch arrives as parsed rows, rejects included; their counts are appended
+    to `counts` (driver side), a row of numbers per batch.
     """
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        write_lake_batch(batch_df, batch_id, lake_path, num_partitions)
-        log.info("lake batch %s written", batch_id)
+        spark = batch_df.sparkSession
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        seen = Observation()
+        rows = batch_df.observe(seen, *count_columns()).filter(F.col("job_id").isNotNull())
+        write_lake_batch(rows, batch_id, lake_path, run_of(spark, lake_path, stream_id))
+        if counts is not None:
+            counts.append({"batch_id": batch_id, **seen.get})
+        log.info("lake batch %s written: %s", batch_id, seen.get)
     return write
 
 
 def stream_ingest(spark: SparkSession, fmt: str, options: Mapping[str, str] | None,
                   lake_path: str, checkpoint: str, path: str | None = None,
                   processing_time: str | None = None, available_now: bool = True,
-                  timeout_s: float | None = None, strict_seconds: bool = False,
-                  num_partitions: int | None = None) -> list:
-    """Run the ingest stream; returns the query's progress reports (rows per batch).
+                  timeout_s: float | None = None, strict_seconds: bool = False) -> list[dict]:
+    """Run the ingest stream; returns per batch what was received, rejected,
+    quarantined and written.
 
     available_now=True drains what is there and ends (the bounded run);
     otherwise it triggers every `processing_time` (e.g. "5 seconds") until
     `timeout_s`. The query is always stopped on the way out.
     """
-    rows = parsed_stream(spark, fmt, options, path, strict_seconds)
+    counts: list[dict] = []
+    rows = all_records(read_stream(spark, fmt, options, path), "value", strict_seconds)
     writer = (rows.writeStream
-              .foreachBatch(lake_batch_writer(lake_path, num_partitions))
+              .foreachBatch(lake_batch_writer(lake_path, counts))
               .option("checkpointLocation", checkpoint)
               .outputMode("append"))
     if available_now:
@@ -67,4 +75,4 @@ def stream_ingest(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
         query.stop()
     if query.exception() is not None:
         raise query.exception()
-    return query.recentProgress
+    return counts

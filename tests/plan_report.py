@@ -34,19 +34,19 @@ def summarize(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from jobtide.session import get_spark
-    import __spark_entry__ as E
+    from jobtide import plans
     spark = get_spark("plan-report", master="local[8]",
                       extra_conf={"spark.sql.shuffle.partitions": "16"})
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, before AQE re-planning)\n")
     print("Counts are operators in the initial physical plan. AQE may later turn a shuffle join into a")
     print("broadcast (measured size under the threshold), coalesce partitions or split skewed ones.")
-    print("Round-robin shuffles come from `sources.spread` on single-split inputs; at scale they vanish.\n")
+    print("Static broadcasts are Spark's own choice, by file size, where a side is below the threshold.\n")
     cols = ["hash shuffles", "range shuffles", "round-robin", "broadcasts", "partial aggs",
             "sort aggs", "partial top-k", "python"]
     print("| query | " + " | ".join(cols) + " | filters pushed to parquet |")
     print("|---|" + "---|" * (len(cols) + 1))
-    for name, fn in E.queries().items():
+    for name, fn in plans.queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)

@@ -31,13 +31,6 @@ def test_kafka_options_and_empty_publish(spark):
     assert S.kafka_publish(empty, "host:9094", "job-topic") is False  # no-op, no connection
 
 
-def test_spread_small_inputs(spark):
-    one = spark.range(10).coalesce(1)
-    assert S.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(64)
-    assert S.spread(many).rdd.getNumPartitions() == 64
-
-
 def test_collection_stamp_and_ids(spark):
     r = spark.range(3).select(J.collected_now().alias("c"), J.random_id().alias("u")).collect()
     assert len({x.u for x in r}) == 3 and len({tuple(x.c) for x in r}) == 1

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from jobtide import plans
 from oracle_check import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +15,8 @@ def con():
     return duck_connect(SF)
 
 
-def test_every_query_has_an_oracle_or_is_stream_only():
-    assert set(E.queries()) - set(SQL) == {"stream_dedup"}
+def test_every_query_has_an_oracle():
+    assert set(plans.queries()) == set(SQL)
     assert set(SQL) <= set(E.queries())
 
 

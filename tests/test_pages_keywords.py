@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 
+from pyspark.sql import functions as F
+
 from jobtide import operators as O
 from jobtide import sources as S
 
@@ -41,13 +43,31 @@ def test_page_fields_hand_written(spark):
     assert r[2].title == "Only title" and r[2].third_item is None and r[2].requirements == ""
 
 
+def test_tag_names_end_and_hidden_markup_is_skipped(spark):
+    html = ("<head><link rel='a'><style>li{}</style><title> T </title></head><!-- <li>no</li> --><pre>code</pre>"
+            "<h1>\n  Head &lt;A&gt;\n</h1><ul><li class='x'>one</li><li>two&nbsp;2</li></ul><script>'<li>no</li>'</script>"
+            "<param name='p'><p>para</p>")
+    df = spark.createDataFrame([(1, "http://e.org/", html), (2, None, None)], "page_id long, url string, html string")
+    r = {x.page_id: x for x in O.page_fields(df).collect()}
+    assert r[1].title == "Head <A>" and r[1].requirements == "one, two 2, para" and r[1].n_paragraphs == 1
+    assert r[2].title is None and r[2].third_item is None
+
+
+def test_top_keywords_with_a_term_in_every_document(spark):
+    """The hot term joins from every document; results stay whole and it never ranks."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"),
+                                    F.concat(F.lit("common common word"), F.col("id").cast("string")).alias("text"))
+    got = {r.doc_id: r.keywords for r in O.top_keywords(docs, k=1).collect()}
+    assert got == {i: f"word{i}" for i in range(3000)}
+
+
 def test_top_keywords_brute_force(spark):
     docs = spark.createDataFrame([
         (1, "Spark spark SQL joins. Spark!"), (2, "SQL windows and joins"),
-        (3, "Kafka streams; Kafka topics"), (4, ""), (5, "a b c")], "doc_id long, text string")
+        (3, "Kafka streams; Kafka topics"), (4, ""), (5, "a b c"), (6, "C C R R C++ go c# + #"), (7, None)], "doc_id long, text string")
     got = {r.doc_id: r.keywords for r in O.top_keywords(docs, k=3).collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
-    toks = {d: [t for t in re.split(r"[^\w]+|_", s.lower()) if len(t) >= 2] for d, s in texts.items()}
+    toks = {d: [t for t in re.split(r"[^\w+#]+|_", (s or "").lower()) if re.search(r"\w", t)] for d, s in texts.items()}
     dfreq = Counter(t for ts in toks.values() for t in set(ts))
     want = {}
     for d, ts in toks.items():
@@ -68,10 +88,12 @@ def test_label_values(spark):
     from jobtide import functions as J
     html = ("<div><label> NGÀY ĐĂNG </label><p>01/07/2025</p></div>"
             "<div><label>NGÀNH NGHỀ</label><span>x</span><p><a>IT - Phần mềm</a></p></div>"
-            "<div><label>KỸ NĂNG</label></div><p>not in the div</p>")
+            "<div><label>KỸ NĂNG</label></div><p>not in the div</p>"
+            "<div><label>Nested</label><div><div><p>no</p></div></div><div>x</div><p> yes &amp;\n so </p></div>")
     df = spark.createDataFrame([(html,), ("<p>none</p>",)], "html string")
     r = df.select(J.label_value("html", J.html.LABEL_POSTED).alias("p"),
                   J.label_value("html", J.html.LABEL_INDUSTRY).alias("i"),
-                  J.label_value("html", J.html.LABEL_SKILLS).alias("s")).collect()
-    assert (r[0].p, r[0].i, r[0].s) == ("01/07/2025", "IT - Phần mềm", None)
+                  J.label_value("html", J.html.LABEL_SKILLS).alias("s"),
+                  J.label_value("html", "Nested").alias("n")).collect()
+    assert (r[0].p, r[0].i, r[0].s, r[0].n) == ("01/07/2025", "IT - Phần mềm", None, "yes & so")
     assert (r[1].p, r[1].i, r[1].s) == (None, None, None)

@@ -18,8 +18,10 @@ def test_stream_ingest_and_replay(spark, tmp_dir):
     src, lake, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
     write_lines(src, STREAM_LINES[:3], "a.json")
     write_lines(src, STREAM_LINES[3:], "b.json")
-    progress = ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src)
-    assert sum(p["numInputRows"] for p in progress) == len(STREAM_LINES)
+    counts = ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src)
+    assert sum(c["received"] for c in counts) == len(STREAM_LINES)
+    assert sum(c["rejected"] for c in counts) == len(STREAM_LINES) - 3
+    assert sum(c["written"] for c in counts) == 3
     rows = O.read_lake(spark, lake)
     assert sorted(r.job_id for r in rows.collect()) == ["1", "1", "2"]
     assert sorted(r.batch_id for r in rows.select("batch_id").distinct().collect()) == [0, 1]
@@ -41,31 +43,58 @@ def test_replayed_batch_overwrites_its_folder(spark, tmp_dir):
     assert O.read_lake(spark, lake).count() == 3
 
 
-def test_stream_dedup_within_60s(spark, tmp_dir):
-    src = f"{tmp_dir}/in"
+def test_a_fresh_checkpoint_keeps_the_history_of_the_lake(spark, tmp_dir):
+    src, lake = f"{tmp_dir}/in", f"{tmp_dir}/lake"
     write_lines(src, STREAM_LINES, "a.json")
-    rows = ST.parsed_stream(spark, "text", {}, path=src)
-    out = ST.stream_dedup(rows).select("job_id", "scraped_at")
-    q = (out.writeStream.format("memory").queryName("dedup_test").outputMode("append")
-         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(r.job_id for r in spark.table("dedup_test").collect())
-    assert got == ["1", "2"]
-
-
-def test_stream_dedup_batch_brute_force(spark):
-    """Batch form on the sf0.001 postings: one row per key and 60 s window.
-
-    All copies of a key share one event time or lie days apart, so the
-    expected result is one row per (key, event time)."""
-    from jobtide import sources as S
-    lake = S.jobs_as_lake(S.jobs(spark, "/root/testdata/sf0.001"))
-    got = [tuple(r) for r in ST.stream_dedup(lake).select("dedup_key", "scraped_at").collect()]
-    pairs = {tuple(r) for r in O.with_dedup_key(lake, ts=None)
-             .select("dedup_key", "scraped_at").collect()}
-    # A batch DataFrame keeps one row per key (no watermark progress).
-    assert len(got) == len({k for k, _ in pairs}) == len({k for k, _ in got})
-    assert set(got) <= pairs
+    ST.stream_ingest(spark, "text", {}, lake, f"{tmp_dir}/ckpt1", path=src)
+    other = f"{tmp_dir}/in2"
+    write_lines(other, [STREAM_LINES[0].replace('"1"', '"9"')], "b.json")
+    ST.stream_ingest(spark, "text", {}, lake, f"{tmp_dir}/ckpt2", path=other)
+    rows = O.read_lake(spark, lake)
+    assert sorted(r.job_id for r in rows.collect()) == ["1", "1", "2", "9"]
+    assert {(r.run, r.batch_id) for r in rows.collect()} == {(0, 0), (1, 0)}
+    # The same message through the second stream is the later version.
+    write_lines(other, STREAM_LINES, "c.json")
+    ST.stream_ingest(spark, "text", {}, lake, f"{tmp_dir}/ckpt2", path=other)
+    current = O.lake_current(O.read_lake(spark, lake).drop("scraped_month"))
+    assert {r.run for r in current.filter("job_id = '1'").collect()} == {1}
+
+
+ARRIVALS = "arrived_at timestamp, title string, job_id string, url string"
+
+
+def accepted(spark, tmp_dir, files, per_trigger):
+    """Job ids accepted from rows (second of arrival, title, job id), a file per list."""
+    import tempfile
+    base = tempfile.mkdtemp(dir=tmp_dir)
+    for k, rows in enumerate(files):
+        lines = ['{"arrived_at":"2025-07-01T09:%02d:%02dZ","title":"%s","job_id":"%s","url":"u"}'
+                 % (s // 60, s % 60, t, j) for s, t, j in rows]
+        write_lines(f"{base}/in", lines, f"{k}.json")
+        os.utime(f"{base}/in/{k}.json", (1_700_000_000 + 10 * k,) * 2)  # file order = arrival order
+    rows = (spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", str(per_trigger)).json(f"{base}/in"))
+    out = ST.stream_dedup(rows, f"{base}/accepted", f"{base}/checkpoint")
+    return sorted(r.job_id for r in out.collect())
+
+
+def test_a_key_comes_back_after_its_set_expired(spark, tmp_dir):
+    files = [[(0, "A", "1"), (30, "A", "2")], [(59, "A", "3"), (60, "A", "4")], [(61, "A", "5"), (600, "A", "6")]]
+    for per_trigger in (1, 2, 3):
+        assert accepted(spark, tmp_dir, files, per_trigger) == ["1", "4", "6"]
+
+
+def test_an_unseen_key_is_never_lost(spark, tmp_dir):
+    """A key that was not seen and arrives 35 minutes out of order is accepted."""
+    files = [[(2400, "A", "1")], [(2460, "B", "2")], [(2520, "C", "3")], [(300, "D", "4")]]
+    for per_trigger in (1, 4):
+        assert accepted(spark, tmp_dir, files, per_trigger) == ["1", "2", "3", "4"]
+
+
+def test_dedup_does_not_depend_on_the_batches(spark):
+    from jobtide.plans.queries import dedup_stream
+    results = [sorted(tuple(r) for r in dedup_stream(spark, "/root/testdata/sf0.001", n).collect())
+               for n in (1, 4)]
+    assert results[0] == results[1]
 
 
 def test_processing_time_trigger_bounded_run(spark, tmp_dir):
@@ -79,23 +108,3 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     assert time.time() - t0 < 60
     assert O.read_lake(spark, lake).count() == 3
     assert not [q for q in spark.streams.active]  # stopped on the way out
-
-
-def test_stream_dedup_key_expires_after_watermark(spark, tmp_dir):
-    """A repeat inside the window is dropped; once a micro-batch has run with
-    a watermark past the first sighting + 60 s (expired keys are evicted at
-    the end of a batch), the same key is accepted again."""
-    src = f"{tmp_dir}/in"
-    rec = ('{"jobId":"%s","title":"%s","url":"u","createdAt":[2025,7,1,%d,%d,%d],"source":"X"}')
-    write_lines(src, [rec % ("1", "A", 9, 0, 0), rec % ("2", "A", 9, 0, 30)], "f1.json")  # A, A+30s
-    write_lines(src, [rec % ("3", "B", 9, 10, 0)], "f2.json")   # watermark -> 09:09 for batch 3
-    write_lines(src, [rec % ("4", "C", 9, 20, 0)], "f3.json")   # batch 3 evicts A
-    write_lines(src, [rec % ("5", "A", 9, 30, 0)], "f4.json")   # A again: accepted
-    for i, name in enumerate(["f1.json", "f2.json", "f3.json", "f4.json"]):
-        os.utime(os.path.join(src, name), (1_700_000_000 + 10 * i,) * 2)  # file order = batch order
-    rows = ST.parsed_stream(spark, "text", {"maxFilesPerTrigger": "1"}, path=src)
-    q = (ST.stream_dedup(rows).select("job_id").writeStream.format("memory")
-         .queryName("dedup_expiry").outputMode("append")
-         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert sorted(r.job_id for r in spark.table("dedup_expiry").collect()) == ["1", "3", "4", "5"]
