@@ -10,9 +10,9 @@ are packed; the high bits are a unary bit string with the place of every
 RATE-th one, by which `select` finds one offset without a table of them all.
 A second small table holds, per range, the ids before it.
 
-White space never joins two tokens of the tokenizer that is used, so texts are
-encoded word by word and a task remembers the ids of the words it has met, up
-to a fixed number.
+The tokenizer that is used drops white space and case, so texts are encoded word
+by word and a worker remembers the ids of the words it has met, up to a fixed
+number.
 
 Defined results: null and empty texts have the end id alone. Null doc_ids come
 last; equal doc_ids are ordered by a hash of the text, and rows equal in both
@@ -23,19 +23,24 @@ ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_slices, text_of
+from .common import text_of
 
 END = 1                  # id appended to each document
 SEGMENT_IDS = 1 << 18    # ids after which a segment ends with the document
 ROW_GROUP = 16 << 20     # bytes of a Parquet row group, the unit of a parallel read
 RATE = 64                # ones between two recorded places
-REMEMBERED = 1 << 20     # words whose ids a task remembers
+REMEMBERED = 400_000     # words whose ids a worker remembers, beside those of one group of texts
+TOGETHER = 20_000        # new words encoded as one text
+GROUP_BYTES = 8 << 20    # texts whose words are looked up together
+PUNCTUATION = b".,;:!?"
 
 SEGMENT = ("part int, segment int, before long, n_docs int, n_ids long, id_bytes int, doc_ids array<long>, "
            "ids binary, low_width int, low binary, high binary, places binary")
@@ -89,20 +94,84 @@ class EliasFano:
 
 
 class WordIds(dict):
-    """The ids of a word as little-endian bytes, remembered up to a fixed number of words."""
+    """The ids of words as little-endian bytes, remembered up to a fixed number of words.
+
+    A word of letters is one piece for the tokenizer's splitter, and so is the
+    punctuation after it. New words are therefore split there, and their letter
+    parts are encoded as one text, whose ids are cut after each id that ends a
+    piece; all else is encoded word by word, also if the cuts do not add up.
+    """
 
     def __init__(self, tokenizer_path: str, kind: str):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer, self.kind = Tokenizer.from_file(tokenizer_path), kind
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = np.array(ids, self.kind).tobytes()
-        if len(self) >= REMEMBERED:
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = bool(suffix) and token.endswith(suffix)
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes()
+                for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are letters only."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            return self._one_by_one(words)
+        raw, width = ids.tobytes(), ids.itemsize
+        cuts = [0, *(cuts * width).tolist()]
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remember the ids of all these words."""
+        split = {w: (w.rstrip(PUNCTUATION), w) for w in words}
+        parts = {x for core, w in split.values() for x in ((core, w[len(core):]) if core.decode().isalpha() else (w,))}
+        parts = [x for x in parts if x and x not in self]
+        letters = [x for x in parts if x.decode().isalpha()]
+        for at in range(0, len(letters), TOGETHER):
+            some = letters[at:at + TOGETHER]
+            self.update(zip(some, self._letters([x.decode() for x in some])))
+        others = [x for x in parts if x not in self]
+        self.update(zip(others, self._one_by_one([x.decode() for x in others])))
+        for w, (core, _) in split.items():
+            if w not in self:
+                self[w] = self[core] + self[w[len(core):]]
+
+    def documents(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        # Only the case of the special tokens' names matters to the tokenizer.
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        new = set(chain.from_iterable(words)).difference(self)
+        if len(self) + len(new) > REMEMBERED:
             self.clear()
-        self[word] = value
-        return value
+            new = set(chain.from_iterable(words))
+        self.learn(new)
+        return [b"".join(map(self.__getitem__, w)) for w in words]
+
+
+_KNOWN: dict[tuple[str, str], WordIds] = {}
+
+
+def known_words(tokenizer_path: str, kind: str) -> WordIds:
+    """This worker process's memory of words, kept from task to task."""
+    if (tokenizer_path, kind) not in _KNOWN:
+        _KNOWN[tokenizer_path, kind] = WordIds(tokenizer_path, kind)
+    return _KNOWN[tokenizer_path, kind]
+
+
+def encoded(known: WordIds, texts: Iterable[bytes]):
+    """The ids of each text, looked up in groups of about GROUP_BYTES."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= GROUP_BYTES:
+            yield from known.documents(group)
+            group, size = [], 0
+    yield from known.documents(group)
 
 
 def id_bytes(tokenizer_path: str) -> int:
@@ -117,7 +186,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
     end = np.array([END], kind).tobytes()
 
     def run(batches):
-        known, part, segment, before = WordIds(tokenizer_path, kind), None, 0, 0
+        known, part, segment, before = known_words(tokenizer_path, kind), None, 0, 0
         doc_ids, pieces, lengths = [], [], [0]
 
         def closed():
@@ -134,8 +203,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(0)[0].as_py()
-            for doc_id, text in zip(batch.column(1).to_pylist(), binary_slices(batch.column(2))):
-                ids = b"".join(map(known.__getitem__, text.split())) + end
+            for doc_id, ids in zip(batch.column(1).to_pylist(), encoded(known, (t.as_py() for t in batch.column(2)))):
+                ids += end
                 doc_ids.append(doc_id)
                 pieces.append(ids)
                 lengths.append(len(ids) // width)
