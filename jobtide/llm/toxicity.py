@@ -35,6 +35,7 @@ from .common import is_learning_row, text_of
 SAMPLE = 8192           # labelled documents of each label in the fit
 SAMPLE_CHARS = 65_536   # longest text in the fit
 VOCABULARY = 4096       # features kept
+COUNTED = 200_000       # features that a task counts before it hands them on
 LEAST_G = 15.0          # log-likelihood ratio of a kept feature
 LEAST_DOCS = 4          # toxic documents that hold it
 PLAIN = -14.0           # log-odds of a sentence without evidence
@@ -143,16 +144,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = labelled_sample(docs, labels, "toxic")
 
     def counted(batches):
+        def flushed():
+            names = sorted(set(seen[0]) | set(seen[1]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([None, *names], pa.string())]
+                + [pa.array([found[y], *(seen[y][x] for x in names)], pa.int64()) for y in (0, 1)],
+                names=["feature", "clean", "toxic"])
+
         seen, found = {0: Counter(), 1: Counter()}, {0: 0, 1: 0}
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found[label] += 1
                 seen[label].update(features(text))
-        names = sorted(set(seen[0]) | set(seen[1]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None, *names], pa.string())]
-            + [pa.array([found[y], *(seen[y][x] for x in names)], pa.int64()) for y in (0, 1)],
-            names=["feature", "clean", "toxic"])
+                if len(seen[0]) + len(seen[1]) >= COUNTED:
+                    yield flushed()
+                    seen, found = {0: Counter(), 1: Counter()}, {0: 0, 1: 0}
+        yield flushed()
 
     counts = (sample.select("text", "label").mapInArrow(counted, "feature string, clean long, toxic long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
