@@ -16,6 +16,10 @@
    full sets decide; only links that join two components leave the task.
 4. Components of the links; the smallest doc_id of a component is its id.
 
+The small sides of joins (counts, heads, names) are written first: both sides
+of such a join are then plain shuffles, which adaptive execution can split
+where a key is hot.
+
 Defined results: null or blank texts have an empty set and link with nothing;
 their component is their own doc_id. Repeated rows are copies. A null doc_id
 takes part, but a component's id is null only if all its doc_ids are. Other
@@ -89,7 +93,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
 def _listed(classes: DataFrame, percent: int) -> DataFrame:
     """(value, set_id, weight): each class under its rarest retained values."""
     postings = classes.select("set_id", "n_shingles", F.explode("sketch").alias("value"))
-    shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = staged(postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
     size = F.size("values")
     needed = (F.when(F.col("n_shingles") <= SKETCH,
                      F.ceil(F.col("n_shingles") * needed_percent(percent) / 100))
@@ -105,15 +109,16 @@ def _listed(classes: DataFrame, percent: int) -> DataFrame:
 
 def _families(lists: DataFrame) -> DataFrame:
     """(head, set_id, weight), each once: all classes listed with a head, itself included."""
-    heads = (lists.groupBy("value").agg(F.max(F.struct("weight", "set_id")).alias("head"),
-                                        F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .select("value", F.col("head.set_id").alias("head")))
+    heads = staged(lists.groupBy("value").agg(F.max(F.struct("weight", "set_id")).alias("head"),
+                                              F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select("value", F.col("head.set_id").alias("head")), "heads")
     return lists.join(heads, "value").select("head", "set_id", "weight").distinct()
 
 
 def _blocks(families: DataFrame) -> DataFrame:
     """A family in blocks of about BLOCK members; each pair of blocks is one group."""
-    counts = families.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    counts = staged(families.groupBy("head").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "family-sizes")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     return (families.join(counts, "head").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -228,7 +233,8 @@ def near_links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
     """(a, b): verified links between set ids that give the components of all links."""
     best = F.min(F.struct("doc_id", "text_md5", "n_shingles", "sketch")).alias("first")
     classes = rows.filter("n_shingles > 0").groupBy("set_id").agg(best).select("set_id", "first.*")
-    families = staged(_families(_listed(classes, percent)), "families")
+    classes = staged(classes, "classes")
+    families = staged(_families(staged(_listed(classes, percent), "lists")), "families")
     members = families.select("set_id").distinct()
     chosen = classes.join(members, "set_id", "left_semi").select("set_id", "doc_id", "text_md5")
     keyed = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().cast("binary").alias("text")) \
@@ -254,7 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
                 .withColumn("root", F.coalesce("root", "set_id")))
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    named = labelled.join(smallest, "root").select("set_id", "smallest")
+    named = staged(labelled.join(smallest, "root").select("set_id", "smallest"), "names")
     return (rows.drop("sketch").join(named, "set_id", "left")
             .select("doc_id", "text_md5", "n_shingles", "set_id",
                     F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
