@@ -18,6 +18,9 @@
 5. A line is aligned if any earlier partner aligns it; runs of aligned lines of
    at least BLOCK_WORDS words are deleted from the later document.
 
+Counts and holders of lines are written before they are joined: both sides are
+then plain shuffles, which adaptive execution can split where a line is hot.
+
 "Earlier" is the order of doc_id, nulls last, then of a text hash.
 
 Defined results: null and empty texts have no lines to delete and stay as they
@@ -138,7 +141,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 def _seeds(classes: DataFrame) -> DataFrame:
     """(md5, line, df, run): lines in runs that could be deleted, with their holders' number."""
     postings = classes.select("md5", F.explode(F.array_distinct("lines")).alias("line")).filter("line != 0")
-    shared = postings.groupBy("line").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = staged(postings.groupBy("line").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared-lines")
     per_class = postings.join(shared, "line").groupBy("md5").agg(
         F.collect_list("line").alias("shared"), F.collect_list("df").alias("dfs"))
 
@@ -172,9 +175,9 @@ def pairs(classes: DataFrame) -> DataFrame:
     seeds = staged(_seeds(classes), "seeds")
     places = classes.select("md5", "place")
     # The first holder may be any class that has the line, with a run of its own or not.
-    lines = seeds.select("line").distinct()
-    holders = (classes.select("place", F.explode(F.array_distinct("lines")).alias("line"))
-               .join(lines, "line", "left_semi").groupBy("line").agg(F.min("place").alias("first")))
+    lines = staged(seeds.select("line").distinct(), "seed-lines")
+    holders = staged(classes.select("place", F.explode(F.array_distinct("lines")).alias("line"))
+                     .join(lines, "line", "left_semi").groupBy("line").agg(F.min("place").alias("first")), "holders")
     return (seeds.join(holders, "line").join(places, "md5")
             .filter(F.col("first.md5") != F.col("md5"))
             .groupBy(F.col("md5").alias("later"), F.col("first.md5").alias("earlier"))
