@@ -56,22 +56,16 @@ def family_rows():
     return rows
 
 
-@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80)])
-def test_components_match_brute_force(documents, words, percent):
+@pytest.mark.parametrize("words,percent,block", [(3, 85, 8), (5, 80, M.BLOCK)])
+def test_components_match_brute_force(documents, monkeypatch, words, percent, block):
+    """Families in one block and, with small blocks, in many."""
+    monkeypatch.setattr(M, "BLOCK", block)
     rows = family_rows()
     found = M.near_duplicates(documents(rows), words, percent)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr)
     assert got == brute(rows, words, percent)
 
 
-def test_blocks_of_a_family_give_the_same_components(documents, monkeypatch):
-    monkeypatch.setattr(M, "BLOCK", 8)
-    rows = family_rows()
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in
-                  M.near_duplicates(documents(rows), 3, 85).collect()), key=repr)
-    assert got == brute(rows, 3, 85)
-
-
 def test_one_document_of_each_group_stays(documents):
     rows = [(5, prose(60)), (3, prose(60) + " end"), (3, prose(60) + " end"), (9, prose(60, 2)), (7, None), (7, None),
             (8, " "), (None, prose(60, 4)), (None, prose(60, 4))]
@@ -85,7 +79,6 @@ def test_one_document_of_each_group_stays(documents):
 
 def test_empty_table(documents):
     assert M.near_duplicates(documents([])).count() == 0
-    assert M.keep_first(documents([])).count() == 0
 
 
 @settings(max_examples=60, deadline=None, derandomize=True)

@@ -22,20 +22,29 @@ def test_whole_table(spark, name):
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF).collect()) == sorted(ids)
 
 
-def test_every_stage_takes_what_the_one_before_kept(spark):
+def test_every_stage_takes_what_the_one_before_kept(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns = docs.columns
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
-    for name, stage in corpus_pipeline.STAGES:
-        result = staged(stage(spark, docs, SF), f"test-{name}")
-        assert result.select("doc_id").distinct().join(docs, "doc_id", "left_anti").count() == 0
+    met = []
+
+    def watched(stage):
+        def call(session, given, sf_dir):
+            result = staged(stage(session, given, sf_dir), "watched")
+            met.append((given, result))
+            return result
+        return call
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, watched(f)) for n, f in corpus_pipeline.STAGES])
+    last = corpus_pipeline.run(spark, SF)
+    before = docs
+    for given, result in met:
+        assert sorted(map(tuple, given.collect())) == sorted(map(tuple, before.collect()))
+        assert {r.doc_id for r in result.collect()} <= {r.doc_id for r in given.collect()}
         assert 0 < result.count() <= 3 * docs.count()
-        if name != "sharding":
-            assert result.columns == columns
-            docs = result
-    run = corpus_pipeline.run(spark, SF)
-    assert sorted(map(tuple, run.collect())) == sorted(map(tuple, result.collect()))
+        assert result is met[-1][1] or result.columns == docs.columns
+        before = result
+    assert last is met[-1][1] and len(met) == 5
 
 
 def test_stages_on_an_empty_table(spark):
