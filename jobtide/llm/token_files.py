@@ -37,7 +37,7 @@ END = 1                  # id appended to each document
 SEGMENT_IDS = 1 << 18    # ids after which a segment ends with the document
 ROW_GROUP = 16 << 20     # bytes of a Parquet row group, the unit of a parallel read
 RATE = 64                # ones between two recorded places
-REMEMBERED = 400_000     # words whose ids a worker remembers, beside those of one group of texts
+REMEMBERED = 400_000     # words whose ids a worker remembers, and as many that it met before those
 TOGETHER = 20_000        # new words encoded as one text
 GROUP_BYTES = 8 << 20    # texts whose words are looked up together
 PUNCTUATION = b".,;:!?"
@@ -106,6 +106,7 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer, self.kind = Tokenizer.from_file(tokenizer_path), kind
+        self.before: dict[bytes, bytes] = {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
@@ -127,28 +128,35 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of all these words."""
-        split = {w: (w.rstrip(PUNCTUATION), w) for w in words}
-        parts = {x for core, w in split.values() for x in ((core, w[len(core):]) if core.decode().isalpha() else (w,))}
-        parts = [x for x in parts if x and x not in self]
-        letters = [x for x in parts if x.decode().isalpha()]
+        letters, others, ended = set(), set(), []
+        for w in words:
+            core = w.rstrip(PUNCTUATION)
+            if core.isalpha() or core.decode().isalpha():
+                letters.add(core)
+                if len(core) < len(w):
+                    ended.append((w, core))
+            else:
+                others.add(w)
+        others.update({w[len(core):] for w, core in ended})
+        letters, others = list(letters.difference(self)), list(others.difference(self))
         for at in range(0, len(letters), TOGETHER):
             some = letters[at:at + TOGETHER]
             self.update(zip(some, self._letters([x.decode() for x in some])))
-        others = [x for x in parts if x not in self]
         self.update(zip(others, self._one_by_one([x.decode() for x in others])))
-        for w, (core, _) in split.items():
-            if w not in self:
-                self[w] = self[core] + self[w[len(core):]]
+        self.update((w, self[core] + self[w[len(core):]]) for w, core in ended)
 
     def documents(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         # Only the case of the special tokens' names matters to the tokenizer.
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = set(chain.from_iterable(words)).difference(self)
-        if len(self) + len(new) > REMEMBERED:
+        if len(self) + len(new) > REMEMBERED:  # words that are still in use come back from `before`
+            self.before = dict(self)
             self.clear()
             new = set(chain.from_iterable(words))
-        self.learn(new)
+        old = new.intersection(self.before)
+        self.update((w, self.before[w]) for w in old)
+        self.learn(new.difference(old))
         return [b"".join(map(self.__getitem__, w)) for w in words]
 
 
