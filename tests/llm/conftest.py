@@ -21,6 +21,6 @@ def documents(spark):
     def made(rows):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) + (7,) * (len(SCHEMA) - 5)
                 for r in rows]
-        return spark.createDataFrame(full, SCHEMA)
+        return spark.createDataFrame(full, SCHEMA).coalesce(2)  # few Python workers
     return made
 
