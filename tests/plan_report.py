@@ -35,7 +35,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from jobtide.session import get_spark
     from jobtide import plans
-    spark = get_spark("plan-report", master="local[8]",
+    spark = get_spark("plan-report", master="local[4]",
                       extra_conf={"spark.sql.shuffle.partitions": "16"})
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, before AQE re-planning)\n")
