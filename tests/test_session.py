@@ -20,3 +20,20 @@ def test_defaults_fill_only_unset_keys(spark):
         if not cluster.contains(key):
             assert s.conf.get(key) == value, key
     assert s.conf.get("spark.ui.enabled") == "false"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from jobtide.session import shared_dir
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+    assert shared_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
