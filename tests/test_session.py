@@ -7,8 +7,7 @@ def test_run_dirs_live_under_the_checkpoint_dir(spark):
     base = shared_dir(spark)
     a, b = run_dir(spark, "x"), run_dir(spark, "x")
     assert a != b
-    local = base[len("file:"):] if base.startswith("file:") else base
-    assert a.startswith(local) and b.startswith(local)
+    assert a.startswith(f"{base}/") and b.startswith(f"{base}/")
 
 
 def test_defaults_fill_only_unset_keys(spark):
