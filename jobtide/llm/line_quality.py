@@ -104,7 +104,12 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept, all columns, `text` without the failing and the empty lines."""
+    """The rows of `docs` that are kept, all columns, `text` without the failing and the empty lines.
+
+    The verdict goes through a Generate, as a filter pushed below the projections
+    would repeat their nested expressions inside the predicate.
+    """
     text = F.array_join(F.transform(F.filter("__q.lines", lambda x: ~x["fails"]), lambda x: x["line"]), "\n")
-    return measured(docs).filter("__q.kept").select(
+    judged = measured(docs).select(*docs.columns, F.explode(F.array("__q")).alias("__q"))
+    return judged.filter("__q.kept").select(
         *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))
