@@ -15,8 +15,9 @@
    that are unique in both and in one order (a longest increasing
    subsequence) are anchors, equal lines next to them join, and the gaps
    between are treated the same way.
-5. A line is aligned if any earlier partner aligns it; runs of aligned lines of
-   at least BLOCK_WORDS words are deleted from the later document.
+5. Runs of lines that one earlier partner aligns, of at least BLOCK_WORDS words,
+   are blocks; the blocks of all partners are deleted from the later document.
+   Lines that come one each from several documents are no block.
 
 Counts and holders of lines are written before they are joined: both sides are
 then plain shuffles, which adaptive execution can split where a line is hot.
@@ -185,24 +186,24 @@ def pairs(classes: DataFrame) -> DataFrame:
 
 
 def aligned(classes: DataFrame) -> DataFrame:
-    """(md5, places): the lines of each class that an earlier partner aligns."""
+    """(md5, places): the lines of each class in blocks that one earlier partner aligns."""
     both = (pairs(classes)
             .join(classes.select(F.col("md5").alias("earlier"), F.col("lines").alias("theirs")), "earlier")
-            .join(classes.select(F.col("md5").alias("later"), F.col("lines").alias("own")), "later")
-            .select("later", "own", "theirs"))
+            .join(classes.select(F.col("md5").alias("later"), F.col("lines").alias("own"), "words"), "later")
+            .select("later", "own", "words", "theirs"))
 
     def run(batches):
         for batch in batches:
             keys, found = [], []
-            for md5, own, theirs in zip(*(c.to_pylist() for c in batch.columns)):
+            for md5, own, words, theirs in zip(*(c.to_pylist() for c in batch.columns)):
                 keep = [k for k, x in enumerate(own) if x]
                 places = patience([own[k] for k in keep], [x for x in theirs if x])
                 keys.append(md5)
-                found.append([keep[k] for k in places])
+                found.append(long_runs([keep[k] for k in places], words))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int32()))],
                                              names=["md5", "places"])
 
-    return both.mapInArrow(run, "md5 binary, places array<int>") \
+    return both.mapInArrow(run, "md5 binary, places array<int>").filter(F.size("places") > 0) \
         .groupBy("md5").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
 
 
@@ -211,16 +212,7 @@ def deleted_lines(docs: DataFrame) -> DataFrame:
     places, from 0, of those to delete."""
     rows = staged(lined(docs).distinct(), "lines")
     classes = staged(_classes(rows), "line-classes")
-
-    def run(batches):
-        for batch in batches:
-            found = [long_runs(places, words)
-                     for words, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))],
-                                             names=["md5", "deleted"])
-
-    blocks = classes.select("md5", "words").join(aligned(classes), "md5").mapInArrow(
-        run, "md5 binary, deleted array<int>").filter(F.size("deleted") > 0)
+    blocks = aligned(classes).select("md5", F.array_sort("places").alias("deleted"))
     firsts = classes.select("md5", F.col("place.id").alias("first")).join(blocks, "md5", "left")
     none = F.expr("CAST(array() AS array<int>)")
     every = F.filter(F.transform("words", lambda w, k: F.when(w > 0, k)), lambda k: k.isNotNull())

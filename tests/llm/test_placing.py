@@ -92,6 +92,12 @@ def test_blocks_go_from_the_later_document(documents):
     assert LD.deduplicated(documents([])).count() == 0
 
 
+def test_lines_of_several_documents_are_no_block(documents):
+    lines = [prose(12, 300 + k) for k in range(3)]
+    rows = [(k, lines[k] + "\n" + prose(9, 400 + k)) for k in range(3)] + [(9, "\n".join(lines))]
+    assert {r.doc_id: r["__deleted"] for r in LD.deduplicated(documents(rows)).collect()} == {0: [], 1: [], 2: [], 9: []}
+
+
 def sizes_of(rows):
     return [len((t or "").encode()) + 1 for _, t, *_ in rows]
 
