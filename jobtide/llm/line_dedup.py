@@ -6,11 +6,8 @@
 2. A block can be deleted only if all its lines occur in another class, so a
    document's seeds are its runs of such lines of at least BLOCK_WORDS words
    in all. Lone boilerplate lines end here, however many documents hold them.
-3. A seed line leads to the first class that holds it, and each pair of classes
-   counts once, with the number of holders of its rarest shared line. Rare
-   lines name the documents that overlap; a block that thousands of documents
-   share has no rare line left, so common lines of a run are not dropped but
-   give one pair per posting too, never the square of their holders.
+3. A seed line leads to the first class that holds it, whatever its frequency,
+   and each pair of classes counts once: at most one pair per posting.
 4. Each pair is aligned by patience diff on its whole line sequences: lines
    that are unique in both and in one order (a longest increasing
    subsequence) are anchors, equal lines next to them join, and the gaps
@@ -18,6 +15,14 @@
 5. Runs of lines that one earlier partner aligns, of at least BLOCK_WORDS words,
    are blocks; the blocks of all partners are deleted from the later document.
    Lines that come one each from several documents are no block.
+6. The first holder of a passage may hold it in another form (twice, shuffled),
+   where it aligns nothing. What is not covered yet is tried with the other
+   holders: a block that covers a line has all lines of one of the shortest runs
+   of BLOCK_WORDS words around it, so the earlier holders of the rarest line of
+   each such run are all its possible partners. They are tried in rounds, in
+   the order of a hash, TRIES times as many each round, until the line is
+   covered or every one of them was tried: no possible partner is left out, and
+   a passage that many share is covered in the first rounds.
 
 Counts and holders of lines are written before they are joined: both sides are
 then plain shuffles, which adaptive execution can split where a line is hot.
@@ -42,6 +47,7 @@ from pyspark.sql import functions as F
 from .common import binary_slices, list_array, staged, text_of
 
 BLOCK_WORDS = 30
+TRIES = 8
 
 LINED = "id long, md5 binary, lines array<long>, words array<int>"
 
@@ -171,23 +177,23 @@ def _seeds(classes: DataFrame) -> DataFrame:
         run, "md5 binary, line long, df long, run int")
 
 
-def pairs(classes: DataFrame) -> DataFrame:
-    """(later, earlier): each class with the first classes that hold its seed lines."""
-    seeds = staged(_seeds(classes), "seeds")
-    places = classes.select("md5", "place")
+def first_holders(classes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(line, first): the place of the first class that holds each seed line."""
     # The first holder may be any class that has the line, with a run of its own or not.
     lines = staged(seeds.select("line").distinct(), "seed-lines")
-    holders = staged(classes.select("place", F.explode(F.array_distinct("lines")).alias("line"))
-                     .join(lines, "line", "left_semi").groupBy("line").agg(F.min("place").alias("first")), "holders")
-    return (seeds.join(holders, "line").join(places, "md5")
-            .filter(F.col("first.md5") != F.col("md5"))
-            .groupBy(F.col("md5").alias("later"), F.col("first.md5").alias("earlier"))
-            .agg(F.min("df").alias("rarest")))
+    return staged(classes.select("place", F.explode(F.array_distinct("lines")).alias("line"))
+                  .join(lines, "line", "left_semi").groupBy("line").agg(F.min("place").alias("first")), "holders")
+
 
+def pairs(seeds: DataFrame) -> DataFrame:
+    """(later, earlier): each class with the first classes that hold its `seeds`, of (md5, line, df, first)."""
+    return seeds.select(F.col("md5").alias("later"), F.col("first.md5").alias("earlier")).distinct()
 
-def aligned(classes: DataFrame) -> DataFrame:
-    """(md5, places): the lines of each class in blocks that one earlier partner aligns."""
-    both = (pairs(classes)
+
+def aligned(classes: DataFrame, both: DataFrame) -> DataFrame:
+    """(md5, places): the lines of each class in blocks that one earlier partner aligns,
+    for the pairs (later, earlier) in `both`."""
+    both = (both
             .join(classes.select(F.col("md5").alias("earlier"), F.col("lines").alias("theirs")), "earlier")
             .join(classes.select(F.col("md5").alias("later"), F.col("lines").alias("own"), "words"), "later")
             .select("later", "own", "words", "theirs"))
@@ -203,8 +209,92 @@ def aligned(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int32()))],
                                              names=["md5", "places"])
 
-    return both.mapInArrow(run, "md5 binary, places array<int>").filter(F.size("places") > 0) \
-        .groupBy("md5").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    return _united(both.mapInArrow(run, "md5 binary, places array<int>").filter(F.size("places") > 0))
+
+
+def _united(found: DataFrame) -> DataFrame:
+    return found.groupBy("md5").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+
+
+def probe_lines(lines: list[int], words: list[int], df: dict[int, int], done: set[int]) -> set[int]:
+    """The rarest line of each shortest run of BLOCK_WORDS words, of lines in `df`, around
+    a place that is not `done`. Any block that covers such a place has all lines of one of these runs."""
+    runs: list[list[int]] = []
+    for k in long_runs([k for k, x in enumerate(lines) if x in df], words):
+        if runs and not any(words[runs[-1][-1] + 1:k]):
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+    probes = set()
+    for run in runs:
+        for at, k in enumerate(run):
+            if k in done:
+                continue
+            total, start, end = words[k], at, at
+            while True:  # the shortest end for each start, until the run ends at the place itself
+                while total < BLOCK_WORDS and end + 1 < len(run):
+                    end += 1
+                    total += words[run[end]]
+                while end > at and total - words[run[end]] >= BLOCK_WORDS:
+                    total -= words[run[end]]
+                    end -= 1
+                if total >= BLOCK_WORDS:
+                    probes.add(min((lines[j] for j in run[start:end + 1]), key=lambda x: (df[x], x)))
+                    if end == at:
+                        break
+                if not start:
+                    break
+                start -= 1
+                total += words[run[start]]
+    return probes
+
+
+def _open(rows: DataFrame, tried: int) -> DataFrame:
+    """The classes that have a line left to cover, with its `probes`: lines of which more
+    than `tried` holders may be left."""
+    def run(batches):
+        for batch in batches:
+            probes = []
+            for lines, words, held, done in zip(*(batch.column(c).to_pylist()
+                                                  for c in ("lines", "words", "held", "done"))):
+                df = {x["line"]: x["df"] for x in held}
+                probes.append([{"line": x, "df": df[x]} for x in sorted(probe_lines(lines, words, df, set(done)))
+                               if df[x] > tried])
+            column = pa.array(probes, pa.list_(pa.struct([("line", pa.int64()), ("df", pa.int64())])))
+            yield batch.append_column("probes", column).filter(pa.array([bool(p) for p in probes], pa.bool_()))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{schema}, probes array<struct<line: bigint, df: bigint>>")
+
+
+def covered(classes: DataFrame) -> DataFrame:
+    """(md5, places): the lines of each class in a block of any earlier class."""
+    seeds = staged(_seeds(classes), "seeds")
+    # Only lines with an earlier holder can be covered.
+    seeds = staged(seeds.join(first_holders(classes, seeds), "line").join(classes.select("md5", "place"), "md5")
+                   .filter(F.col("first") < F.col("place")).select("md5", "line", "df", "first"), "earlier-seeds")
+    blocks = found = staged(aligned(classes, pairs(seeds)), "blocks")
+    held = seeds.groupBy("md5").agg(F.collect_list(F.struct("line", "df")).alias("held"))
+    none = F.expr("CAST(array() AS array<int>)")
+    left, tried, until, holders = classes.join(held, "md5").withColumn("done", none), 0, TRIES, None
+    while True:
+        left = left.join(found, "md5", "left").withColumn(
+            "done", F.array_union("done", F.coalesce("places", none))).select("md5", "place", "lines", "words", "held", "done")
+        left = staged(_open(left, tried), "open")
+        probes = left.select("md5", "place", F.inline("probes"))
+        if probes.isEmpty():
+            return _united(blocks)
+        if holders is None:  # `turn` is below df: after as many tries none is left
+            turn = F.pmod(F.xxhash64("line", "md5"), F.lit(1 << 20)) / (1 << 20) * F.col("df")
+            holders = staged(classes.select("md5", "place", F.explode(F.array_distinct("lines")).alias("line"))
+                             .join(staged(probes.select("line", "df").distinct(), "probes"), "line")
+                             .select("line", F.col("md5").alias("earlier"), F.col("place").alias("before"),
+                                     turn.alias("turn")), "probe-holders")
+        both = (probes.join(holders.filter((F.col("turn") >= tried) & (F.col("turn") < until)), "line")
+                .filter(F.col("before") < F.col("place")).select(F.col("md5").alias("later"), "earlier").distinct())
+        found = staged(aligned(classes, staged(both, "tries")), "blocks")
+        blocks = blocks.unionByName(found)
+        left, tried, until = left.drop("probes"), until, until * TRIES
 
 
 def deleted_lines(docs: DataFrame) -> DataFrame:
@@ -212,7 +302,7 @@ def deleted_lines(docs: DataFrame) -> DataFrame:
     places, from 0, of those to delete."""
     rows = staged(lined(docs).distinct(), "lines")
     classes = staged(_classes(rows), "line-classes")
-    blocks = aligned(classes).select("md5", F.array_sort("places").alias("deleted"))
+    blocks = covered(classes).select("md5", F.array_sort("places").alias("deleted"))
     firsts = classes.select("md5", F.col("place.id").alias("first")).join(blocks, "md5", "left")
     none = F.expr("CAST(array() AS array<int>)")
     every = F.filter(F.transform("words", lambda w, k: F.when(w > 0, k)), lambda k: k.isNotNull())

@@ -98,6 +98,15 @@ def test_lines_of_several_documents_are_no_block(documents):
     assert {r.doc_id: r["__deleted"] for r in LD.deduplicated(documents(rows)).collect()} == {0: [], 1: [], 2: [], 9: []}
 
 
+@pytest.mark.parametrize("other_form", ["twice", "reversed"])
+def test_a_first_holder_of_another_form_hides_no_partner(documents, other_form):
+    lines = [prose(11, 500 + k) for k in range(5)]
+    first = "\n".join([*lines, prose(4, 600), *lines] if other_form == "twice" else lines[::-1])
+    rows = [(1, first), *((k, "\n".join([prose(9, 700 + k), *lines, prose(9, 800 + k)])) for k in range(2, 16))]
+    got = {r.doc_id: r["__deleted"] for r in LD.deduplicated(documents(rows)).collect()}
+    assert got == {1: [], 2: [], **{k: [1, 2, 3, 4, 5] for k in range(3, 16)}}
+
+
 def sizes_of(rows):
     return [len((t or "").encode()) + 1 for _, t, *_ in rows]
 
