@@ -107,6 +107,44 @@ def test_a_first_holder_of_another_form_hides_no_partner(documents, other_form):
     assert got == {1: [], 2: [], **{k: [1, 2, 3, 4, 5] for k in range(3, 16)}}
 
 
+def brute_blocks(rows):
+    """Deleted places per doc_id, from an alignment with every earlier document."""
+    earlier, found = {}, {}
+    for k, text in sorted(rows):
+        lines = [" ".join(x.split()) for x in text.split("\n")]
+        words = [len(x.split()) for x in lines]
+        places = [j for j, n in enumerate(words) if n]
+        own = [lines[j] for j in places]
+        deleted = set(places) if text in earlier else set()
+        for theirs in earlier.values() if not deleted else ():
+            deleted |= set(LD.long_runs([places[j] for j in LD.patience(own, theirs)], words))
+        earlier.setdefault(text, own)
+        found[k] = sorted(deleted)
+    return found
+
+
+def test_blocks_match_brute_force_over_all_earlier_documents(documents):
+    rng = random.Random(12)
+    hot = [prose(n, 7000 + n) for n in (4, 9, 16, 31)]
+    rows = []
+    for group in range(40):
+        pool = [prose(rng.randrange(3, 18), 8000 + 20 * group + k) for k in range(8)]
+        for _ in range(12):
+            start = rng.randrange(5)
+            part = pool[start:start + rng.randrange(2, 6)]
+            form = rng.randrange(5)
+            lines = [part, part + part, part[::-1], rng.sample(part, len(part)), part][form]
+            lines = [x for x in lines if rng.random() < 0.9]
+            for extra in rng.sample(hot, rng.randrange(3)) + [""] * rng.randrange(2) + [prose(12, 9000 + len(rows))]:
+                lines.insert(rng.randrange(len(lines) + 1), extra)
+            rows.append((len(rows), "\n".join(lines)))
+    rng.shuffle(rows)
+    rows = [(k, text) for k, (_, text) in enumerate(rows)]
+    expected = brute_blocks(rows)
+    assert sum(map(bool, expected.values())) > 50
+    assert {r.doc_id: r["__deleted"] for r in LD.deduplicated(documents(rows)).collect()} == expected
+
+
 def sizes_of(rows):
     return [len((t or "").encode()) + 1 for _, t, *_ in rows]
 
