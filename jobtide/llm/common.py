@@ -46,6 +46,13 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def one_per_id(rows: DataFrame, *columns: str) -> DataFrame:
+    """(text, *columns): of the rows of each id the one whose text has the least hash. A
+    repeated id is reduced before the shuffle."""
+    return (rows.groupBy("id", *columns).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+            .select("one.text", *columns))
+
+
 def is_learning_row(doc_id: Column) -> Column:
     """Rows whose labels may be learned from; the others are held out."""
     return ~is_held_out(doc_id)

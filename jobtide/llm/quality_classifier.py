@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_learning_row, text_of
+from .common import is_learning_row, one_per_id, text_of
 
 SAMPLE = 8192
 SAMPLE_CHARS = 65_536
@@ -138,14 +138,14 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(features, positive): the bounded samples. The ids sent to the scan are at most 2 * SAMPLE."""
+    """(features, positive): the bounded samples. The ids sent to the scan are at most 2 * SAMPLE, and each gives one row."""
     good = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
             .filter("id IS NOT NULL AND quality IN (0, 1)").filter(is_learning_row(F.col("id")))
             .groupBy("id").agg(F.min("quality").alias("quality")).filter("quality = 1")
             .orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", F.lit(1).alias("positive")))
     others = (docs.select(F.col("doc_id").cast("long").alias("id")).filter("id IS NOT NULL")
-              .orderBy(F.xxhash64("id", F.lit("unlabelled")), "id").limit(SAMPLE)
-              .distinct().select("id", F.lit(0).alias("positive")))
+              .distinct().orderBy(F.xxhash64("id", F.lit("unlabelled")), "id").limit(SAMPLE)
+              .select("id", F.lit(0).alias("positive")))
 
     def run(batches):
         for batch in batches:
@@ -153,9 +153,9 @@ def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, pa.list_(pa.float64())), batch.column(1)], names=["features", "positive"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-            .filter(F.length("text") <= SAMPLE_CHARS)
-            .join(F.broadcast(good.unionByName(others)), "id").select("text", "positive")
+    return (one_per_id(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
+                       .filter(F.length("text") <= SAMPLE_CHARS)
+                       .join(F.broadcast(good.unionByName(others)), "id"), "positive")
             .mapInArrow(run, "features array<double>, positive int"))
 
 

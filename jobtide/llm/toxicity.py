@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_learning_row, text_of
+from .common import is_learning_row, one_per_id, text_of
 
 SAMPLE = 8192           # labelled documents of each label in the fit
 SAMPLE_CHARS = 65_536   # longest text in the fit
@@ -125,7 +125,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str) -> DataFram
     """(text, label, weight): the bounded learning sample for one label column.
 
     Only learning rows; of each label the SAMPLE first by a hash of doc_id.
-    The ids that are sent to the scan are at most 2 * SAMPLE.
+    The ids that are sent to the scan are at most 2 * SAMPLE, and each gives one row.
     """
     rows = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col(target).cast("int").alias("label"))
             .filter("id IS NOT NULL AND label IN (0, 1)").filter(is_learning_row(F.col("id")))
@@ -134,9 +134,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str) -> DataFram
     parts = [rows.filter(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
              .withColumn("weight", F.lit(max(1.0, n / SAMPLE))) for y, n in sorted(counts.items())]
     chosen = parts[0].unionByName(parts[1]) if len(parts) == 2 else rows.limit(0).withColumn("weight", F.lit(1.0))
-    return (docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-            .filter(F.length("text") <= SAMPLE_CHARS)
-            .join(F.broadcast(chosen), "id").select("text", "label", "weight"))
+    return one_per_id(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
+                      .filter(F.length("text") <= SAMPLE_CHARS)
+                      .join(F.broadcast(chosen), "id"), "label", "weight")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

@@ -71,6 +71,15 @@ def test_held_out_labels_are_never_read(spark, documents):
     assert T.fit(docs, labels_of(spark, marks)) == T.fit(docs, labels_of(spark, flipped))
 
 
+def test_a_repeated_id_gives_one_sample_row(spark, documents):
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 3 != 1][:20]
+    docs = documents([(k, prose(9, k)) for k in ids] + [(ids[0], prose(9, 100 + k)) for k in range(40)])
+    marks = labels_of(spark, [(k, 1, n % 2) for n, k in enumerate(ids)])
+    sample = T.labelled_sample(docs, marks, "toxic").collect()
+    assert sorted(r.label for r in sample) == [0] * 10 + [1] * 10
+    assert sorted(r.positive for r in Q.samples(docs, marks).collect()) == [0] * 20 + [1] * 20
+
+
 @pytest.mark.parametrize("marks", [[], [(1, 1, 1)], [(1, None, None)]])
 def test_toxicity_without_both_labels(spark, documents, marks):
     docs = documents([(1, "a b c"), (None, None)])
