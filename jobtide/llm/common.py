@@ -53,6 +53,25 @@ def one_per_id(rows: DataFrame, *columns: str) -> DataFrame:
             .select("one.text", *columns))
 
 
+COPIES_TOGETHER = 10_000  # copies of a row that one task numbers
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """The rows with `copy`, which numbers equal rows from 1 on.
+
+    Equal rows are counted over all input splits first, so the numbers do not
+    depend on how the input is split; the counts of a hot row go to chunks that
+    are dealt out, so no task makes all its copies.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    first, last = F.col("chunk") * COPIES_TOGETHER + 1, F.least((F.col("chunk") + 1) * COPIES_TOGETHER, "copies")
+    few = counted.filter(F.col("copies") <= COPIES_TOGETHER).withColumn("chunk", F.lit(0).cast("long"))
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES_TOGETHER))
+    many = counted.filter(F.col("copies") > COPIES_TOGETHER).withColumn("chunk", F.explode(chunks)) \
+        .repartition(*rows.columns, "chunk")
+    return few.unionByName(many).withColumn("copy", F.explode(F.sequence(first, last))).select(*rows.columns, "copy")
+
+
 def is_learning_row(doc_id: Column) -> Column:
     """Rows whose labels may be learned from; the others are held out."""
     return ~is_held_out(doc_id)

@@ -19,7 +19,7 @@ no source is ever in one task. Only functions of DataFrames are used.
 
 Defined results: null texts have no words, take none and add none. The null
 source is a source of its own, the last. Rows equal in source, doc_id and size
-are numbered and taken one by one; `mixed_documents` takes them together. An
+are numbered and taken one by one, by `mixed_documents` too. An
 empty table, or one without words, gives targets of 0. Other columns are
 ignored, or pass through `mixed_documents`.
 """
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import numbered_copies, staged, text_of
 
 BLOCK = 32        # words of a block
 REPEATS = 3       # a source gives at most so many times its words
@@ -37,16 +37,17 @@ SHARDS = 16       # shards of the mix that get quotas
 SEED = "mix-1"
 MANY_SOURCES = 100_000  # up to so many rows of sources are broadcast
 WORD = r"[^\x20\x09-\x0D]+"
+ROW = ("name", "unnamed", "doc_id", "size")  # rows equal in these are copies
 
 
 def words(column: str = "text") -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
-def _key(copy: Column) -> Column:
+def _key(copy: Column, size: str = "size") -> Column:
     """Place in the seeded order: a hash of what names the row, copies apart."""
     return F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                             F.col("size").cast("string"), copy).cast("binary"))
+                             F.col(size).cast("string"), F.when(copy > 1, copy)).cast("binary"))
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -57,12 +58,8 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def sized(docs: DataFrame) -> DataFrame:
     """(name, unnamed, doc_id, size, key): one narrow row per input row."""
-    narrow = _named(docs.select("source", "doc_id", words().alias("size"))) \
-        .select("name", "unnamed", "doc_id", "size", F.spark_partition_id().alias("split"))
-    counted = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("copies"))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return each.select("name", "unnamed", "doc_id", "size",
-                       _key(F.when(F.col("copy") > 1, F.concat_ws("-", "split", "copy"))).alias("key"))
+    narrow = _named(docs.select("source", "doc_id", words().alias("size"))).select(*ROW)
+    return numbered_copies(narrow).select(*ROW, _key(F.col("copy")).alias("key"))
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -171,9 +168,34 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     cuts = F.broadcast(cuts) if cuts.count() <= MANY_SOURCES else cuts
     named = _named(docs.withColumn("__size", words())).select(
         *docs.columns, "__size", F.col("name").alias("__source"), F.col("unnamed").alias("__null"))
-    key = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                            F.col("__size").cast("string")).cast("binary"))
-    times = F.col("__passes") + F.when(key <= F.col("__cut"), 1).otherwise(0)
-    return (named.join(cuts, (F.col("__source") == F.col("__name")) & (F.col("__null") == F.col("__unnamed")))
+    times = F.col("__passes") + F.when(_key(F.col("__copy"), "__size") <= F.col("__cut"), 1).otherwise(0)
+    return (_numbered(named).join(cuts, (F.col("__source") == F.col("__name")) & (F.col("__null") == F.col("__unnamed")))
             .filter("__size > 0").withColumn("__times", times.cast("int")).filter("__times > 0")
             .withColumn("__time", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns))
+
+
+def _numbered(named: DataFrame) -> DataFrame:
+    """The rows with `__copy`, the number that `sized` gives a repeated row.
+
+    Only rows that repeat are shuffled. They are numbered by a hash of the whole
+    row, within their input split, after the counts of what comes before.
+    """
+    key = ["__source", "__null", "doc_id", "__size"]
+    repeats = staged(named.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "mix-repeats")
+    if repeats.isEmpty():
+        return named.withColumn("__copy", F.lit(1).cast("long"))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    together = same[0] & same[1] & same[2] & same[3]
+    once = named.alias("l").join(repeats.alias("r"), together, "left_anti").withColumn("__copy", F.lit(1).cast("long"))
+    again = named.alias("l").join(repeats.alias("r"), together, "left_semi") \
+        .withColumn("__row", F.xxhash64(*named.columns)).withColumn("__split", F.spark_partition_id())
+    again = staged(again, "mix-copies")
+    counts = again.groupBy(*key, "__row", "__split").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*key).orderBy("__row", "__split").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("__before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long"))).drop("n")
+    inside = Window.partitionBy(*key, "__row", "__split").orderBy("__row")
+    placed = again.withColumn("__in", F.row_number().over(inside))
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*key, "__row", "__split"]]
+    both = placed.alias("a").join(before.alias("b"), on)
+    return once.unionByName(both.select(*(F.col(f"a.{c}") for c in named.columns),
+                                        (F.col("__before") + F.col("__in")).alias("__copy")))

@@ -7,8 +7,9 @@ the fewest bytes. So shards are equal in bytes up to the last slot moved, and
 a shard that is added receives only what the others have too much of.
 
 Everything is DataFrame functions. Rows reduce to narrow records first; texts
-are never shuffled. Repeated records are counted per input split before the
-shuffle and get a number each, so that copies spread over the slots.
+are never shuffled. Repeated records are counted, partial counts first, and get
+a number each, so that copies spread over the slots; a record's virtual slot
+depends on the record and its number alone, not on the input's splits.
 
 Defined results: a null text has the size 1 and the checksum of no bytes.
 Null doc_ids are hashed like any value. Repeated rows are placed one by one.
@@ -21,22 +22,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import numbered_copies, staged, text_of
 
 SLOTS = 4096
 MAP = "version int, shards int, slot int, shard int"
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot, split, copy): one narrow row per input row."""
+    """(doc_id, size, text_crc32, vslot, copy): one narrow row per input row."""
     narrow = docs.select("doc_id", (F.octet_length(text_of()).cast("long") + 1).alias("size"),
-                         F.crc32(text_of().cast("binary")).alias("text_crc32"),
-                         F.spark_partition_id().alias("split"))
-    counted = narrow.groupBy("doc_id", "size", "text_crc32", "split").agg(F.count(F.lit(1)).alias("copies"))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    repeat = F.when(F.col("copy") > 1, F.struct("split", "copy"))
+                         F.crc32(text_of().cast("binary")).alias("text_crc32"))
+    repeat = F.when(F.col("copy") > 1, F.col("copy"))
     slot = F.pmod(F.xxhash64("doc_id", "size", "text_crc32", repeat), F.lit(slots)).cast("int")
-    return each.select("doc_id", "size", "text_crc32", slot.alias("vslot"), "split", "copy")
+    return numbered_copies(narrow).select("doc_id", "size", "text_crc32", slot.alias("vslot"), "copy")
 
 
 def slot_totals(rows: DataFrame) -> DataFrame:
@@ -98,7 +96,7 @@ def placed(rows: DataFrame, totals: DataFrame, slot_map: DataFrame) -> DataFrame
     starts = totals.join(slot_map, "slot").select(
         F.col("slot").alias("vslot"), "shard", "version",
         F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("long")).alias("before"))
-    in_slot = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "split", "copy")
+    in_slot = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "copy")
     return (rows.withColumn("rank", F.row_number().over(in_slot) - 1)
             .join(F.broadcast(starts), "vslot")
             .withColumn("place", F.col("before") + F.col("rank")))

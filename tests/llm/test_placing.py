@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from jobtide.llm import common as C
 from jobtide.llm import line_dedup as LD
 from jobtide.llm import mixing as X
 from jobtide.llm import secrets as S
@@ -222,6 +223,39 @@ def test_findings_match_brute_force_and_scans_are_incremental(spark, documents):
     assert S.by_path(empty, path).count() == 0
 
 
+def repeated_rows():
+    rng = random.Random(9)
+    rows = [(k, prose(rng.randrange(0, 40), k), rng.choice("abcd")) for k in range(300)]
+    rows += rng.choices(rows[:60], k=120) + [(77, "the same row of six words", "a")] * 90
+    rows += [(78, f"{x} other words", "b") for x in "xyzxyzxy"] + [(None, None, None), (None, "", "a")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("together", [10_000, 7])
+def test_placing_does_not_depend_on_the_splits(spark, documents, monkeypatch, together):
+    """Sharding and mixing of repeated rows from 1, 2 and 7 partitions."""
+    monkeypatch.setattr(C, "COPIES_TOGETHER", together)
+    docs = documents(repeated_rows())
+    found = []
+    for parts in (1, 2, 7):
+        dealt = docs.repartition(parts) if parts > 1 else docs.coalesce(1)
+        found.append((Counter(map(tuple, H.sharded(dealt).collect())), Counter(map(tuple, X.mixed(dealt).collect())),
+                      Counter((r.doc_id, r.text) for r in X.mixed_documents(dealt).collect())))
+    assert found[0] == found[1] == found[2]
+    assert found[0][0].total() == found[0][1].total() == docs.count()
+
+
+def test_mixed_rows_give_what_the_mix_granted(documents):
+    docs = documents(repeated_rows())
+    granted, given = Counter(), Counter()
+    for r in X.mixed(docs).collect():
+        granted[r.doc_id, r.size] += -(-r.taken // max(1, r.size))
+    for r in X.mixed_documents(docs).collect():
+        given[r.doc_id, len(r.text.split())] += 1
+    assert given == +granted
+
+
 def brute_targets(sizes):
     names = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
     weights = {n: 1 + k % 3 for k, n in enumerate(names)}
