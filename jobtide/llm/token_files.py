@@ -11,8 +11,8 @@ RATE-th one, by which `select` finds one offset without a table of them all.
 A second small table holds, per range, the ids before it.
 
 The tokenizer that is used drops white space and case, so texts are encoded word
-by word and a worker remembers the ids of the words it has met, up to a fixed
-number.
+by word: a batch's words are coded by a dictionary, and a worker remembers the
+ids of the words it has met, up to a fixed number.
 
 Defined results: null and empty texts have the end id alone. Null doc_ids come
 last; equal doc_ids are ordered by a hash of the text, and rows equal in both
@@ -23,11 +23,11 @@ ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +40,8 @@ RATE = 64                # ones between two recorded places
 REMEMBERED = 400_000     # words whose ids a worker remembers, and as many that it met before those
 TOGETHER = 20_000        # new words encoded as one text
 GROUP_BYTES = 8 << 20    # texts whose words are looked up together
-PUNCTUATION = b".,;:!?"
+PUNCTUATION = ".,;:!?"
+DOTTED_I = "\u0130"    # its lower case is a letter and a mark
 
 SEGMENT = ("part int, segment int, before long, n_docs int, n_ids long, id_bytes int, doc_ids array<long>, "
            "ids binary, low_width int, low binary, high binary, places binary")
@@ -96,7 +97,7 @@ class EliasFano:
 class WordIds(dict):
     """The ids of words as little-endian bytes, remembered up to a fixed number of words.
 
-    A word of letters is one piece for the tokenizer's splitter, and so is the
+    A word of plain letters is one piece for the tokenizer's splitter, and so is the
     punctuation after it. New words are therefore split there, and their letter
     parts are encoded as one text, whose ids are cut after each id that ends a
     piece; all else is encoded word by word, also if the cuts do not add up.
@@ -106,7 +107,7 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer, self.kind = Tokenizer.from_file(tokenizer_path), kind
-        self.before: dict[bytes, bytes] = {}
+        self.before: dict[str, bytes] = {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
@@ -117,7 +118,7 @@ class WordIds(dict):
                 for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are letters only."""
+        """Ids of words that are plain letters only."""
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or cuts[-1] != len(ids):
@@ -126,12 +127,12 @@ class WordIds(dict):
         cuts = [0, *(cuts * width).tolist()]
         return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Remember the ids of all these words."""
         letters, others, ended = set(), set(), []
         for w in words:
             core = w.rstrip(PUNCTUATION)
-            if core.isalpha() or core.decode().isalpha():
+            if plain_letters(core):
                 letters.add(core)
                 if len(core) < len(w):
                     ended.append((w, core))
@@ -141,23 +142,48 @@ class WordIds(dict):
         letters, others = list(letters.difference(self)), list(others.difference(self))
         for at in range(0, len(letters), TOGETHER):
             some = letters[at:at + TOGETHER]
-            self.update(zip(some, self._letters([x.decode() for x in some])))
-        self.update(zip(others, self._one_by_one([x.decode() for x in others])))
+            self.update(zip(some, self._letters(some)))
+        self.update(zip(others, self._one_by_one(others)))
         self.update((w, self[core] + self[w[len(core):]]) for w, core in ended)
 
-    def documents(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        # Only the case of the special tokens' names matters to the tokenizer.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set(chain.from_iterable(words)).difference(self)
+    def known(self, words: list[str]) -> list[bytes]:
+        """The ids of each of these distinct words."""
+        new = set(words).difference(self)
         if len(self) + len(new) > REMEMBERED:  # words that are still in use come back from `before`
             self.before = dict(self)
             self.clear()
-            new = set(chain.from_iterable(words))
+            new = set(words)
         old = new.intersection(self.before)
         self.update((w, self.before[w]) for w in old)
         self.learn(new.difference(old))
-        return [b"".join(map(self.__getitem__, w)) for w in words]
+        return [self[w] for w in words]
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each followed by END, and where each text's ids end.
+
+        Arrow splits the texts at ASCII white space, which always parts words, and
+        codes the words by a dictionary, so Python meets each distinct word once.
+        """
+        # Only the case of the special tokens' names matters to the tokenizer.
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(texts)
+        coded = pc.dictionary_encode(words.flatten())
+        ids = [*self.known(coded.dictionary.to_pylist()), np.array([END], self.kind).tobytes()]
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
+        starts = np.cumsum(lengths) - lengths
+        cuts = np.asarray(words.offsets).astype(np.int64)
+        cuts = cuts[1:] - cuts[0]
+        uses = np.insert(coded.indices.to_numpy(), cuts, len(ids) - 1)  # END after each text's words
+        ends = np.cumsum(lengths[uses])
+        shift = np.repeat(starts[uses] - (ends - lengths[uses]), lengths[uses])
+        return flat[np.arange(len(shift)) + shift], ends[cuts + np.arange(len(cuts))]
+
+
+def plain_letters(word: str) -> bool:
+    """Latin letters that stay single letters in lower case, before U+0250: one piece for the
+    splitter in any version of the character tables."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and DOTTED_I not in word))
 
 
 _KNOWN: dict[tuple[str, str], WordIds] = {}
@@ -170,16 +196,15 @@ def known_words(tokenizer_path: str, kind: str) -> WordIds:
     return _KNOWN[tokenizer_path, kind]
 
 
-def encoded(known: WordIds, texts: Iterable[bytes]):
-    """The ids of each text, looked up in groups of about GROUP_BYTES."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= GROUP_BYTES:
-            yield from known.documents(group)
-            group, size = [], 0
-    yield from known.documents(group)
+def groups(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about GROUP_BYTES, each of whole texts."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        base = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, base + GROUP_BYTES)))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 def id_bytes(tokenizer_path: str) -> int:
@@ -191,7 +216,6 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
     """Encode every whole text and write segments and range starts under `path`."""
     width = id_bytes(tokenizer_path)
     kind = f"<u{width}"
-    end = np.array([END], kind).tobytes()
 
     def run(batches):
         known, part, segment, before = known_words(tokenizer_path, kind), None, 0, 0
@@ -211,16 +235,19 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(0)[0].as_py()
-            for doc_id, ids in zip(batch.column(1).to_pylist(), encoded(known, (t.as_py() for t in batch.column(2)))):
-                ids += end
-                doc_ids.append(doc_id)
-                pieces.append(ids)
-                lengths.append(len(ids) // width)
-                total += lengths[-1]
-                if total >= SEGMENT_IDS:
-                    yield closed()
-                    segment, before, total = segment + 1, before + total, 0
-                    doc_ids, pieces, lengths = [], [], [0]
+            rows = iter(batch.column(1).to_pylist())
+            for texts in groups(batch.column(2)):
+                ids, ends = known.documents(texts)
+                raw, at = memoryview(ids.tobytes()), 0
+                for end in ends.tolist():
+                    doc_ids.append(next(rows))
+                    pieces.append(raw[at * width:end * width])
+                    lengths.append(end - at)
+                    total, at = total + end - at, end
+                    if total >= SEGMENT_IDS:
+                        yield closed()
+                        segment, before, total = segment + 1, before + total, 0
+                        doc_ids, pieces, lengths = [], [], [0]
         if doc_ids:
             yield closed()
 
@@ -230,8 +257,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         .withColumn("tie", F.xxhash64("text"))
     sorted_rows = rows.repartitionByRange(ranges, *order, F.monotonically_increasing_id()) \
         .sortWithinPartitions(*order)
-    segments = sorted_rows.select(F.spark_partition_id().alias("part"), "doc_id",
-                                  F.col("text").cast("binary").alias("text")).mapInArrow(run, SEGMENT)
+    segments = sorted_rows.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(run, SEGMENT)
     segments.write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/segments")
     spark = docs.sparkSession
     sums = spark.read.parquet(f"{path}/segments").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import prose
 from hypothesis import given, settings
@@ -223,6 +224,50 @@ def test_findings_match_brute_force_and_scans_are_incremental(spark, documents):
     assert S.by_path(empty, path).count() == 0
 
 
+@pytest.fixture(scope="module")
+def word_bpe():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return path, Tokenizer.from_file(path), T.WordIds(path, "<u2")
+
+
+def assert_encoded(word_bpe, texts):
+    _, tokenizer, known = word_bpe
+    ids, ends = known.documents(pa.array(texts, pa.string()))
+    assert len(ends) == len(texts) and (len(ids) == ends[-1] if len(texts) else not len(ids))
+    for text, a, b in zip(texts, [0, *ends.tolist()], ends.tolist()):
+        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [T.END], text
+
+
+AWKWARD = ("aZ\u0130\u0131\u015f\u00e9\u00c9\u0301\u0307\u0327\u0345\u00df\u017f\u212a\u02bc'.,;:!?\u2019\u201c-019 \t\n\x0b\x1c\x85\u00a0\u4e2d\u65e5"
+           "\u01c5\ufb01\u0391\u03a3\u0431\u042f\U0001d120<|>_")
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(st.lists(st.one_of(st.text(st.sampled_from(AWKWARD), max_size=40), st.text(max_size=20),
+                          st.lists(st.sampled_from(["T\u00fcrk", "TAR\u0130H\u0130,", "<|endoftext|>", "a<|ENDOFTEXT|>b", "x\u0301;", "don't", "B.", "\u0130!"]),
+                                   max_size=6).map(" ".join)), max_size=5))
+def test_any_text_has_the_tokenizers_ids(word_bpe, texts):
+    assert_encoded(word_bpe, texts)
+
+
+def test_every_plain_letter_is_one_piece(word_bpe):
+    letters = [chr(c) for c in range(0x80, 0x260)]
+    assert_encoded(word_bpe, [f"{x}{x}, a{x}! {x}b" for x in letters])
+    assert not T.plain_letters("TAR\u0130H") and not T.plain_letters("a1") and not T.plain_letters("")
+
+
+def test_words_forgotten_and_met_again(word_bpe, monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 30)
+    monkeypatch.setattr(T, "GROUP_BYTES", 40)
+    texts = pa.array([prose(k % 50, k % 7) for k in range(40)])
+    sizes = [len(x) for x in T.groups(texts)]
+    assert sum(sizes) == 40 and len(sizes) > 10
+    for group in T.groups(texts):
+        assert_encoded(word_bpe, group.to_pylist())
+
+
 def repeated_rows():
     rng = random.Random(9)
     rows = [(k, prose(rng.randrange(0, 40), k), rng.choice("abcd")) for k in range(300)]
