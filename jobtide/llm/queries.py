@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, quality_classifier, secrets,
-               sharding, token_files, toxicity)
+               sharding, token_files, toxicity, whitening)
 from .common import is_held_out, staged_path, table
 from .oracle import ORACLE_SQL
 
@@ -101,6 +101,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "weight", "shard")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of every embedding, fitted on all of them."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_line_dedup": op2_line_dedup,
@@ -112,6 +117,7 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
