@@ -170,10 +170,52 @@ FROM taken t LEFT JOIN awarded a ON a.r = t.r AND a.seat = t.block
 """
 
 
+# The CRC-32 of a decimal number, bit by bit: each byte is followed by eight steps (-1).
+PREFIX_TRIE = rf"""
+WITH t AS (
+ SELECT conv_id, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) k,
+  len(regexp_extract_all(coalesce(text, ''), '{WORD}')) w,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) i
+ FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+ SELECT conv_id, conv_id - conv_id % 20 base, xor(list_reduce(
+   list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+   lambda acc, v: CASE WHEN v >= 0 THEN xor(acc, v) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END),
+  4294967295) % 4 h
+ FROM (SELECT DISTINCT conv_id FROM t)),
+turns AS (
+ SELECT c.conv_id, i d, k, w FROM c JOIN t ON t.conv_id = base WHERE i <= h
+ UNION ALL SELECT c.conv_id, 3 + i d, k, w FROM c JOIN t ON t.conv_id = c.conv_id WHERE i > h),
+s AS (
+ SELECT c.conv_id, coalesce(list(k ORDER BY d) FILTER (k IS NOT NULL), []) ks,
+  coalesce(list(w ORDER BY d) FILTER (k IS NOT NULL), []) ws
+ FROM c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+p AS (
+ SELECT conv_id, d, array_to_string(ks[1:d], ',') p, ks[1:d] ks, coalesce(ws[d], 0) w, d = len(ks) ends
+ FROM (SELECT *, unnest(range(0, len(ks) + 1)) d FROM s)),
+n AS (
+ SELECT p, d, min(conv_id) conv_id, count(*) n_convs, any_value(w) w, any_value(ks) ks,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) ends_sha256
+ FROM p GROUP BY p, d),
+child AS (SELECT array_to_string(ks[1:d - 1], ',') p, count(*) n_children FROM n WHERE d > 0 GROUP BY 1),
+own AS (SELECT n.*, coalesce(n_children, 0) n_children FROM n LEFT JOIN child USING (p)),
+below AS (
+ SELECT a p, count(*) FILTER (n_children = 0) n_leaves, sum((n_convs - 1) * w) saved_tokens
+ FROM (SELECT *, array_to_string(ks[1:unnest(range(0, d + 1))], ',') a FROM own) GROUP BY a)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves,
+ CAST(saved_tokens AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN below b ON b.p = o.p
+LEFT JOIN n up ON o.d > 0 AND up.p = array_to_string(o.ks[1:o.d - 1], ',')
+"""
+
+
 ORACLE_SQL = {
     "op4_secrets": _secrets(),
     "op6_minhash_dedup": MINHASH_DEDUP,
     "op7_decontamination": DECONTAMINATION,
     "op8_line_quality": _line_quality(),
     "op10_mixing": _mixing(),
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, quality_classifier, secrets,
-               sharding, token_files, toxicity, whitening)
+from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, prefix_trie, quality_classifier,
+               secrets, sharding, token_files, toxicity, whitening)
 from .common import is_held_out, staged_path, table
 from .oracle import ORACLE_SQL
 
@@ -106,6 +106,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_line_dedup": op2_line_dedup,
@@ -118,6 +123,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
