@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, line_dedup, line_quality, minhash_dedup, mixing, prefix_trie, quality_classifier,
+from . import (decontamination, edit_fingerprints, line_dedup, line_quality, minhash_dedup, mixing, prefix_trie, quality_classifier,
                secrets, sharding, token_files, toxicity, whitening)
 from .common import is_held_out, staged_path, table
 from .oracle import ORACLE_SQL
@@ -101,6 +101,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "weight", "shard")
 
 
+def op11_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, their likeness, and its near copies' id."""
+    return edit_fingerprints.near_copies(table(spark, sf_dir, "documents")).drop("text_md5")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 8 whitened components of every embedding, fitted on all of them."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -122,6 +127,7 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
+    "op11_edit_fingerprints": op11_edit_fingerprints,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }

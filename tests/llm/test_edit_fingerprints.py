@@ -1,0 +1,171 @@
+"""Edit fingerprints: the walk, its samples, banding and links, against plain restatements."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest_llm import prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from jobtide.llm import edit_fingerprints as E
+from jobtide.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+TEXTS = st.one_of(st.text(max_size=30), st.text("ab ", max_size=400), st.integers(0, 2000).map(lambda n: "xyz" * n))
+
+
+def spelled(text):
+    """The embedding, step by step, by the table of bits."""
+    out, at, j = [], 0, 0
+    while at < len(text):
+        c = ord(text[at])
+        out.append(text[at])
+        kind, j = (c + (c >> 8) * 101) & 255, j + 1
+        at += E.waits()[kind][(j - 1) % E.PERIOD] == 1
+    return out
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=150, deadline=None, derandomize=True)
+@given(TEXTS)
+def test_samples_are_places_of_the_walk(text):
+    w = E.walk(text)
+    steps = spelled(text)
+    assert len(steps) == (w.ends[-1] if text else 0)
+    f = E.fingerprint(w)
+    assert len(f.samples) <= E.BLOCKS and (f.level == 0 or len(f.samples) >= E.BLOCKS // 2)
+    at = E.sampled_steps(f.level)[:len(f.samples)]
+    assert all(k >> f.level == b for b, k in enumerate(at.tolist()))
+    assert [chr(w.codes[np.searchsorted(w.ends, k, side="right")]) for k in at] == [steps[k] for k in at]
+    again = E.parsed(str(f))
+    assert again.level == f.level and (again.samples == f.samples).all()
+    assert E.likeness(f, again) == 1.0
+    finer = E.coarser(f)
+    assert (E.sampled_steps(f.level + 1)[:len(finer.samples)] < max(1, len(steps))).all()
+
+
+@settings(max_examples=100, deadline=None, derandomize=True)
+@given(st.text("abc", max_size=60), st.text("abc", max_size=60))
+def test_the_script_never_claims_too_much(a, b):
+    share = E.kept_share(E.walk(a), E.walk(b))
+    assert share <= 1 - edit_distance(a, b) / max(1, len(a), len(b)) + 1e-9
+    assert E.kept_share(E.walk(a), E.walk(a)) == 1.0
+
+
+def test_one_edit_keeps_most_of_the_walk():
+    rng, near, far = random.Random(3), [], []
+    for k in range(60):
+        text = prose(rng.randrange(50, 400), k)
+        place = rng.randrange(len(text))
+        other = text[:place] + "q" + text[place + 1:]
+        near.append(E.likeness(E.fingerprint(E.walk(text)), E.fingerprint(E.walk(other))))
+        far.append(E.likeness(E.fingerprint(E.walk(text)), E.fingerprint(E.walk(prose(300, 1000 + k)))))
+    assert sum(x >= E.LIKE for x in near) >= 40
+    assert np.mean(near) > 0.85 and max(far) < 0.6
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.integers(1, 1200), st.integers(0, 40), st.integers(0, 60), st.integers(0, 10 ** 6))
+def test_alike_fingerprints_share_a_band(size, longer, changes, seed):
+    rng = np.random.default_rng(seed)
+
+    def printed(steps, values):
+        level = max(0, -(-steps // E.BLOCKS) - 1).bit_length()
+        at = E.sampled_steps(level)
+        return E.Fingerprint(level, values[at[at < steps]])
+
+    values = rng.integers(0, 16, 4096).astype(np.uint8)
+    other = values.copy()
+    other[rng.integers(0, size + longer, changes)] ^= 5
+    a, b = printed(size, values), printed(size + longer, other)
+    if E.likeness(a, b) >= E.LIKE:
+        assert E.band_keys(a) & E.band_keys(b)
+
+
+def brute_links(texts):
+    """Component of each distinct text under all pairs."""
+    texts = sorted(set(texts))
+    walks = [E.walk(t) for t in texts]
+    prints = [E.fingerprint(w) for w in walks]
+    of = list(range(len(texts)))
+    links = 0
+    for x in range(len(texts)):
+        for y in range(x):
+            if texts[x] and texts[y] and E.likeness(prints[x], prints[y]) >= E.LIKE and E.kept_share(walks[x], walks[y]) >= E.SHARE:
+                links += 1
+                of = [of[x] if c == of[y] else c for c in of]
+    return dict(zip(texts, of)), links
+
+
+def expected_rows(rows):
+    """The contract's columns, for rows with different doc_ids."""
+    rows = sorted(((i, t or "") for i, t in rows), reverse=True)
+    component, links = brute_links([t for _, t in rows])
+    least = defaultdict(lambda: 10 ** 18)
+    for i, t in rows:
+        least[component[t]] = min(least[component[t]], i)
+    out = {}
+    for (i, text), (_, other) in zip(rows, rows[1:] + rows[:1]):
+        k = len(text) // 3
+        edited = text[:len(text) - k] + other[:k]
+        f, g, h = (E.fingerprint(E.walk(t)) for t in (text, edited, other))
+        out[i] = (len(text), hashlib.sha256(edited.encode()).hexdigest(), str(f), str(g), E.likeness(f, g), E.likeness(f, h),
+                  least[component[text]])
+    return out, links
+
+
+def got_rows(frame):
+    return {r.doc_id: (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next, r.near_id)
+            for r in frame.collect()}
+
+
+@pytest.mark.parametrize("members, share", [(2048, 0.8), (3, 0.95)])
+def test_matches_brute_force(spark, documents, monkeypatch, members, share):
+    monkeypatch.setattr(E, "MEMBERS", members)
+    monkeypatch.setattr(E, "SHARE", share)  # some links fail and are searched around
+    rng, rows = random.Random(11), []
+    for group in range(12):
+        text = prose(rng.randrange(5, 120), group)
+        for _ in range(6):
+            rows.append((len(rows), text))
+            place = rng.randrange(len(text))
+            text = text[:place] + rng.choice(["", "Q", "new word "]) + text[place + rng.randrange(2):]
+    rows += [(900, None), (901, ""), (902, ""), (903, "\U0001d120\u00e9"), (904, "a"), (905, "a"), (906, "a b c " * 9000)]
+    rng.shuffle(rows)
+    expected, links = expected_rows(rows)
+    assert links > 30
+    assert got_rows(E.near_copies(documents(rows))) == expected
+
+
+def test_repeated_and_null_ids(documents):
+    long = prose(100, 1)
+    rows = [(5, "five"), (5, "five"), (5, None), (None, long), (None, long), (7, long), (1, "one")]
+    got = E.near_copies(documents(rows)).collect()
+    assert len(got) == 7
+    assert {r.near_id for r in got if r.n_chars == len(long)} == {7}
+    assert {r.near_id for r in got if r.n_chars == 4} == {5} and {r.near_id for r in got if not r.n_chars} == {5}
+    alone = E.near_copies(documents([(3, "only row")])).collect()
+    assert [(r.doc_id, r.near_next, r.near_id) for r in alone] == [(3, 1.0, 3)]
+    nobody = E.near_copies(documents([(None, "no id")])).collect()
+    assert [(r.doc_id, r.near_id) for r in nobody] == [(None, None)]
+    assert E.near_copies(documents([])).count() == 0
+
+
+def test_registered_query_over_the_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    expected, _ = expected_rows(rows)
+    got = got_rows(QUERIES["op11_edit_fingerprints"](spark, SF))
+    assert got == expected
+    assert all(near > following or expected[i][6] != i for i, (*_, near, following, _) in got.items()
+               if got[i][0] >= 100)
