@@ -37,7 +37,7 @@ END = 1                  # id appended to each document
 SEGMENT_IDS = 1 << 18    # ids after which a segment ends with the document
 ROW_GROUP = 16 << 20     # bytes of a Parquet row group, the unit of a parallel read
 RATE = 64                # ones between two recorded places
-REMEMBERED = 400_000     # words whose ids a worker remembers, and as many that it met before those
+REMEMBERED = 1_000_000   # words whose ids a worker remembers, beside those of one group
 TOGETHER = 20_000        # new words encoded as one text
 GROUP_BYTES = 8 << 20    # texts whose words are looked up together
 PUNCTUATION = ".,;:!?"
@@ -94,32 +94,35 @@ class EliasFano:
         return (ones[:self.count] - np.arange(self.count) << self.width) + self._low(0, self.count)
 
 
-class WordIds(dict):
-    """The ids of words as little-endian bytes, remembered up to a fixed number of words.
+class WordIds:
+    """The ids of words, remembered for up to a fixed number of words.
 
-    A word of plain letters is one piece for the tokenizer's splitter, and so is the
-    punctuation after it. New words are therefore split there, and their letter
-    parts are encoded as one text, whose ids are cut after each id that ends a
-    piece; all else is encoded word by word, also if the cuts do not add up.
+    Known words are an Arrow array, their ids one flat array with a place and a
+    length per word. A word of plain letters is one piece for the tokenizer's
+    splitter, and so is the punctuation after it. New words are therefore split
+    there, and their letter parts are encoded as one text, whose ids are cut after
+    each id that ends a piece; all else is encoded word by word, also if the cuts
+    do not add up.
     """
 
     def __init__(self, tokenizer_path: str, kind: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer, self.kind = Tokenizer.from_file(tokenizer_path), kind
-        self.before: dict[str, bytes] = {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.ends[k] = bool(suffix) and token.endswith(suffix)
+        self.words = pa.array([], pa.string())
+        self.starts = self.lengths = np.empty(0, np.int64)
+        self.flat = np.empty(0, kind)
 
     def _one_by_one(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes()
-                for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words that are plain letters only."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or cuts[-1] != len(ids):
             return self._one_by_one(words)
@@ -127,57 +130,75 @@ class WordIds(dict):
         cuts = [0, *(cuts * width).tolist()]
         return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of all these words."""
-        letters, others, ended = set(), set(), []
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each of these distinct words, by the tokenizer."""
+        letters, others, ends = {}, {}, {}
         for w in words:
             core = w.rstrip(PUNCTUATION)
-            if plain_letters(core):
-                letters.add(core)
-                if len(core) < len(w):
-                    ended.append((w, core))
+            if not plain_letters(core):
+                others[w] = b""
             else:
-                others.add(w)
-        others.update({w[len(core):] for w, core in ended})
-        letters, others = list(letters.difference(self)), list(others.difference(self))
-        for at in range(0, len(letters), TOGETHER):
-            some = letters[at:at + TOGETHER]
-            self.update(zip(some, self._letters(some)))
-        self.update(zip(others, self._one_by_one(others)))
-        self.update((w, self[core] + self[w[len(core):]]) for w, core in ended)
-
-    def known(self, words: list[str]) -> list[bytes]:
-        """The ids of each of these distinct words."""
-        new = set(words).difference(self)
-        if len(self) + len(new) > REMEMBERED:  # words that are still in use come back from `before`
-            self.before = dict(self)
-            self.clear()
-            new = set(words)
-        old = new.intersection(self.before)
-        self.update((w, self.before[w]) for w in old)
-        self.learn(new.difference(old))
-        return [self[w] for w in words]
+                letters[core] = b""
+                if len(core) < len(w):
+                    ends[w[len(core):]] = b""
+        others.update(ends)
+        for found, encode in ((letters, self._letters), (others, self._one_by_one)):
+            wanted = list(found)
+            for at in range(0, len(wanted), TOGETHER):
+                found.update(zip(wanted[at:at + TOGETHER], encode(wanted[at:at + TOGETHER])))
+        out = []
+        for w in words:
+            ids = letters.get(w) or others.get(w)
+            if ids is None:
+                core = w.rstrip(PUNCTUATION)
+                ids = letters[core] + others[w[len(core):]]
+            out.append(ids)
+        return out
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each of these distinct words is among the known ones; new words become known."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        if len(self.words) + len(new) > REMEMBERED:  # only words that are in use stay
+            used = at.drop_null()
+            self.words = self.words.take(used)
+            self.starts, self.lengths = self.starts[used.to_numpy()], self.lengths[used.to_numpy()]
+            self.flat, self.starts = gathered(self.flat, self.starts, self.lengths)
+            at = pc.index_in(words, value_set=self.words)
+        ids = self.encoded(new.to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.flat.itemsize
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), self.kind)))
+        out = at.fill_null(0).to_numpy().astype(np.int64)
+        out[at.is_null().to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        return out
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by END, and where each text's ids end.
 
         Arrow splits the texts at ASCII white space, which always parts words, and
-        codes the words by a dictionary, so Python meets each distinct word once.
+        codes the words by a dictionary, so each distinct word is looked up once.
         """
         # Only the case of the special tokens' names matters to the tokenizer.
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         words = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(words.flatten())
-        ids = [*self.known(coded.dictionary.to_pylist()), np.array([END], self.kind).tobytes()]
-        flat = np.frombuffer(b"".join(ids), self.kind)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
-        starts = np.cumsum(lengths) - lengths
+        at = np.append(self.places(coded.dictionary), len(self.words))
+        starts, lengths = np.append(self.starts, len(self.flat)), np.append(self.lengths, 1)
         cuts = np.asarray(words.offsets).astype(np.int64)
         cuts = cuts[1:] - cuts[0]
-        uses = np.insert(coded.indices.to_numpy(), cuts, len(ids) - 1)  # END after each text's words
-        ends = np.cumsum(lengths[uses])
-        shift = np.repeat(starts[uses] - (ends - lengths[uses]), lengths[uses])
-        return flat[np.arange(len(shift)) + shift], ends[cuts + np.arange(len(cuts))]
+        uses = at[np.insert(coded.indices.to_numpy(), cuts, len(at) - 1)]  # END after each text's words
+        ids, begins = gathered(np.append(self.flat, np.array([END], self.kind)), starts[uses], lengths[uses])
+        return ids, np.append(begins, len(ids))[cuts + np.arange(1, len(cuts) + 1)]
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of `flat` one after the other, and where each begins."""
+    begins = np.cumsum(lengths) - lengths
+    shift = np.repeat(starts - begins, lengths)
+    return flat[np.arange(len(shift)) + shift], begins
 
 
 def plain_letters(word: str) -> bool:
