@@ -8,6 +8,7 @@ list functions). Column names match the Spark outputs.
 from __future__ import annotations
 
 from ..sources.tables import FIXTURE_MARK, JOBS_SQL
+from . import fixtures as FX
 
 MARK = f"TIMESTAMP '{FIXTURE_MARK}'"
 DEFAULT_MARK = "TIMESTAMP '2000-01-01 00:00:00'"
@@ -323,14 +324,24 @@ SELECT r.jobId AS job_id, r.url, r.source, {shown('r.title')} AS title, {shown('
        r.postedAt AS posted_at, r.expiredAt AS expired_at, {shown('r.skill')} AS skill
 FROM rec r""",
 
-    "stream_dedup": _with(JOBS) + f"""
-SELECT set_start, dedup_key, arrived_at, job_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY set_start, dedup_key
-                               ORDER BY arrived_at, job_id) AS rn FROM (
-    SELECT to_timestamp(s)::TIMESTAMP AS arrived_at, to_timestamp(s // 60 * 60)::TIMESTAMP AS set_start, job_id,
-           {key_sql('title', 'url')} AS dedup_key
-    FROM (SELECT *, unnest(CASE WHEN CAST(job_id AS BIGINT) % 4 = 0 THEN [CAST(job_id AS BIGINT) // 5,
-                 CAST(job_id AS BIGINT) // 5 + 20] ELSE [CAST(job_id AS BIGINT) // 5] END) AS s FROM jobs)))
+    # A day's first set starts with its first arrival; each further one with the first
+    # arrival after the one before has expired.
+    "stream_dedup": _with(JOBS).replace("WITH", "WITH RECURSIVE", 1) + f"""
+, sent AS (
+  SELECT *, unnest(CASE WHEN n % 4 = 0 THEN [a, a + {FX.AGAIN} * 1000] ELSE [a] END) AS t
+  FROM (SELECT *, (n // {FX.PER_SECOND} + {FX.PAUSE} * (n // {FX.PER_SECOND} // {FX.BURST})) * 1000
+               + n % {FX.PER_SECOND} * {1000 // FX.PER_SECOND} + n % 3 AS a
+        FROM (SELECT *, CAST(job_id AS BIGINT) AS n FROM jobs))),
+ticks AS (SELECT DISTINCT t, t // 86400000 AS day FROM sent),
+starts AS (
+  SELECT day, min(t) AS s FROM ticks GROUP BY day
+  UNION ALL
+  SELECT starts.day, min(t) FROM starts JOIN ticks ON ticks.day = starts.day AND t >= s + 60000 GROUP BY starts.day),
+placed AS (
+  SELECT s, t, job_id, {key_sql('title', 'url')} AS dedup_key
+  FROM sent ASOF JOIN starts ON sent.t // 86400000 = starts.day AND sent.t >= starts.s)
+SELECT epoch_ms(s)::TIMESTAMP AS set_start, dedup_key, epoch_ms(t)::TIMESTAMP AS arrived_at, job_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY s, dedup_key ORDER BY t, job_id) AS rn FROM placed)
 WHERE rn = 1""",
 
     "cap_per_group": f"""

@@ -17,15 +17,15 @@ from .. import operators as O
 from .. import sources as S
 from .. import streaming as ST
 from ..session import run_dir
+from . import fixtures as FX
 
 # Fixed parameters of the registered queries.
 LISTING_MAX_PAGES = 5
 LISTING_PER_PAGE = 2
 KEYWORDS_PER_DOC = 3
 UPDATED_TITLE_SUFFIX = " (updated)"
-STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 4
-ARRIVALS_PER_SECOND = 5
+STREAM_RUNS = 4
 
 
 def _jobs(spark, sf_dir):
@@ -68,16 +68,7 @@ def category_salary(spark, sf_dir):
 # ----------------------------------------------------- ingest and publish
 
 def _messages(spark, sf_dir) -> DataFrame:
-    """The jobs' messages as binary values, with broken ones among them: truncated
-    JSON, JSON without an id, and records without a source."""
-    jobs = _jobs(spark, sf_dir)
-    kind = F.col("job_id").cast("bigint") % 50
-    broken = F.when(kind == 0, F.concat(F.lit('{"jobId": "'), "job_id")) \
-        .when(kind == 1, F.lit('{"title": "no id"}')) \
-        .when(kind == 2, F.concat(F.lit('{"jobId": "q'), "job_id", F.lit('", "source": "", "createdAt": [2024,1,1,1,1]}')))
-    return (_envelope(spark, sf_dir).select("value")
-            .unionByName(jobs.select(broken.alias("value")).filter("value IS NOT NULL"))
-            .select(F.col("value").cast("binary").alias("value")))
+    return FX.messages(_jobs(spark, sf_dir), _envelope(spark, sf_dir))
 
 
 def ingest_parse(spark, sf_dir):
@@ -315,45 +306,9 @@ def page_fields(spark, sf_dir):
     return O.page_fields(S.load_table(spark, sf_dir, "pages"))
 
 
-def _rendered_pages(spark, sf_dir) -> DataFrame:
-    """A detail page per posting, in its source's form, with what real pages put around
-    the fields: links, comments, scripts, nested blocks, entities, line ends."""
-    rec = S.jobs_as_records(_jobs(spark, sf_dir))
-
-    def shown(name):
-        text = F.coalesce(F.col(name), F.lit(""))
-        for character, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-            text = F.replace(text, F.lit(character), F.lit(entity))
-        return text
-
-    def page(*parts):
-        return F.concat(*(shown(p[1:]) if p.startswith("=") else F.lit(p) for p in parts))
-
-    head = ('<html><head><link rel="icon" href="/li"><style>p { color: red }</style><script>"<h1>no</h1>"</script>'
-            "</head><body><!-- <label>NGÀY ĐĂNG</label><p>no</p> --><pre>no</pre><ul><li>Menu</li></ul>")
-    labels = page(
-        head, '<h1 name="title">\n ', "=title", '\n</h1><a class="company" href="#">', "=company",
-        '</a><span class="info">', "=expire_text", '</span><span class="info">x</span><span class="info"> ', "=location",
-        ' </span><span class="salary"><b>', "=salary", "</b></span>",
-        "<div><label> NGÀY ĐĂNG </label><div><div><p>no</p></div></div><p>", "=postedAt", "</p></div>",
-        "<div><label>NGÀNH NGHỀ</label> <i>x</i><p><a>", "=category", "</a></p></div>",
-        "<div><label>KỸ NĂNG</label>", "<p>", "=skill", "</p></div><p>end</p></body></html>")
-    boxes = page(
-        head, '<h1 class="title">', "=title", '</h1><a class="employer job" href="#">', "=company",
-        '</a><div class="map"><b>x</b><p><a>', "=location", "</a></p></div><div class='box'><ul><li><b>Ngày cập nhật</b><p>",
-        "=postedAt", "</p></li><li>Ngành nghề: <a>", "=category", "</a><a>other</a></li></ul></div><div><ul><li>Lương<p> ",
-        "=salary", "</p></li><li>Hết hạn nộp <p>", "=expiredAt",
-        '</p></li></ul></div><div class="detail-row x"><h2>Yêu Cầu Công Việc</h2><ul><li>', "=skill",
-        "</li></ul></div><p>end</p></body></html>")
-    texts = _jobs(spark, sf_dir).select(F.col("job_id").alias("_id"), "expire_text")
-    form = F.when(F.col("source") == "VietnamWorks", labels).otherwise(boxes)
-    return rec.join(texts, F.col("jobId") == F.col("_id")).select(
-        F.col("jobId").alias("job_id"), "url", "source", form.alias("html"))
-
-
 def page_postings(spark, sf_dir):
     """The fields of every posting, taken back from its detail page."""
-    return O.page_postings(_rendered_pages(spark, sf_dir), label_source="VietnamWorks")
+    return O.page_postings(FX.rendered_pages(_jobs(spark, sf_dir)), label_source=FX.LABEL_SOURCE)
 
 
 def top_keywords(spark, sf_dir):
@@ -390,34 +345,23 @@ def stream_ingest(spark, sf_dir):
     return _lake_out(cur)
 
 
-def _stage_arrivals(spark, sf_dir, base: str) -> str:
-    """Messages with arrival times, as STREAM_FILES files in the order of arrival. Every
-    fourth posting is sent twice, 20 s apart; jobs arrive in the order of their numbers."""
-    jobs = _jobs(spark, sf_dir)
-    second = F.floor(F.col("job_id").cast("bigint") / ARRIVALS_PER_SECOND)
-    sent = F.when(F.col("job_id").cast("bigint") % 4 == 0, F.array(second, second + 20)).otherwise(F.array(second))
-    arrivals = jobs.withColumn("second", F.explode(sent)).select(
-        F.timestamp_seconds(F.col("second")).alias("arrived_at"), "job_id", "title", "url")
-    last = arrivals.agg(F.max(F.unix_seconds("arrived_at"))).first()[0] or 0
-    path, step = f"{base}/arrivals", last // STREAM_FILES + 1
-    for k in range(STREAM_FILES):
-        part = F.floor(F.unix_seconds("arrived_at") / step) == k
-        arrivals.filter(part).coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def dedup_stream(spark, sf_dir, files_per_trigger: int = STREAM_FILES_PER_TRIGGER) -> DataFrame:
-    """Accepted keys of the staged arrivals, `files_per_trigger` files in a batch."""
+def dedup_stream(spark, sf_dir, runs: int = STREAM_RUNS) -> DataFrame:
+    """Accepted keys of the staged arrivals, which come in `runs` parts; the stream is run,
+    and resumed from its checkpoint, after each."""
     base = run_dir(spark, "stream_dedup")
-    src = _stage_arrivals(spark, sf_dir, base)
-    rows = S.read_stream(spark, "parquet", {"maxFilesPerTrigger": str(files_per_trigger)}, path=src,
-                         schema="arrived_at timestamp, job_id string, title string, url string")
-    accepted = ST.stream_dedup(rows, f"{base}/accepted", f"{base}/checkpoint")
+    staged = FX.arrivals(S.jobs(spark, sf_dir), f"{base}/arrivals", runs)
+    accepted = None
+    for part in range(runs):
+        come = spark.read.schema(f"{FX.ARRIVALS}, part int").parquet(staged).filter(F.col("part") == part)
+        come.drop("part").write.mode("append").parquet(f"{base}/in")
+        rows = S.read_stream(spark, "parquet", {}, path=f"{base}/in", schema=FX.ARRIVALS)
+        accepted = ST.stream_dedup(rows, f"{base}/accepted", f"{base}/checkpoint")
     return accepted.select("set_start", "dedup_key", "arrived_at", "job_id")
 
 
 def stream_dedup(spark, sf_dir):
-    """Stream of messages -> each key's first arrival in its 60-second set."""
+    """Stream of messages -> each key's first arrival in its set, which opens with an
+    arrival and expires 60 s later."""
     return dedup_stream(spark, sf_dir)
 
 

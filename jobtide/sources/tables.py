@@ -78,8 +78,8 @@ def jobs_as_lake(jobs_df: DataFrame) -> DataFrame:
     )
 
 
-def jobs_as_records(jobs_df: DataFrame) -> DataFrame:
-    """Postings as the collector emits them (wire record fields, text dates)."""
+def jobs_as_records(jobs_df: DataFrame, *keep: str) -> DataFrame:
+    """Postings as the collector emits them (wire record fields, text dates), and the columns `keep`."""
     expired = J.relative_expiry(F.col("posted_at"), F.col("expire_text"))
     return jobs_df.select(
         F.col("job_id").alias("jobId"), "title", "company", "location", "salary", "skill",
@@ -88,4 +88,5 @@ def jobs_as_records(jobs_df: DataFrame) -> DataFrame:
         J.format_wire_date(F.col("posted_at")).alias("postedAt"),
         "url", "source",
         J.timestamp_to_parts(F.col("scraped_at").cast("timestamp")).alias("createdAt"),
+        *keep,
     )

@@ -1,6 +1,6 @@
 """Structured Streaming jobs: ingest to the lake, dedup with expiry."""
 
-from .dedup import stream_dedup
+from .dedup import accept_batch, accepted_keys, expire_sets, stream_dedup
 from .ingest import lake_batch_writer, parsed_stream, stream_ingest
 
-__all__ = ["stream_dedup", "lake_batch_writer", "parsed_stream", "stream_ingest"]
+__all__ = ["accept_batch", "accepted_keys", "expire_sets", "stream_dedup", "lake_batch_writer", "parsed_stream", "stream_ingest"]

@@ -1,10 +1,15 @@
-"""Streaming ingest over a JSON-lines folder; replay; dedup within 60 s."""
+"""Streaming ingest over a JSON-lines folder; replay; dedup by sets that expire whole."""
 
+import datetime as dt
 import os
+import random
 
+import pytest
+from pyspark.sql import functions as F
 
 from jobtide import operators as O
 from jobtide import streaming as ST
+from jobtide.streaming import dedup
 from test_ingest import STREAM_LINES
 
 
@@ -77,23 +82,122 @@ def accepted(spark, tmp_dir, files, per_trigger):
     return sorted(r.job_id for r in out.collect())
 
 
-def test_a_key_comes_back_after_its_set_expired(spark, tmp_dir):
-    files = [[(0, "A", "1"), (30, "A", "2")], [(59, "A", "3"), (60, "A", "4")], [(61, "A", "5"), (600, "A", "6")]]
-    for per_trigger in (1, 2, 3):
-        assert accepted(spark, tmp_dir, files, per_trigger) == ["1", "4", "6"]
+def test_a_set_opens_with_an_arrival_and_expires_whole(spark, tmp_dir):
+    """The set of the first arrival (second 50) ends at 110, not on the minute; B, added late in
+    it, comes back as early as 111; the next set runs from 111 to 171."""
+    files = [[(50, "A", "1"), (61, "A", "2")], [(109, "A", "3"), (105, "B", "4")],
+             [(111, "B", "5"), (112, "A", "6"), (170, "B", "7")], [(171, "B", "8"), (600, "A", "9")]]
+    for per_trigger in (1, 2, 4):
+        assert accepted(spark, tmp_dir, files, per_trigger) == ["1", "4", "5", "6", "8", "9"]
+
+
+def test_a_new_day_has_a_set_of_its_own(spark, tmp_dir):
+    rows = spark.createDataFrame([(s, t, j, "u") for s, t, j in
+                                  [("2025-07-01 23:59:50", "A", "1"), ("2025-07-02 00:00:01", "A", "2"),
+                                   ("2025-07-02 00:00:40", "A", "3"), ("2025-07-02 00:01:01", "A", "4"), (None, "A", "5")]],
+                                 "at string, title string, job_id string, url string") \
+        .withColumn("arrived_at", F.to_timestamp("at")).drop("at")
+    ST.accept_batch(rows, f"{tmp_dir}/sets", 0, 0)
+    assert sorted(r.job_id for r in ST.accepted_keys(spark, f"{tmp_dir}/sets").collect()) == ["1", "2", "4"]
 
 
 def test_an_unseen_key_is_never_lost(spark, tmp_dir):
     """A key that was not seen and arrives 35 minutes out of order is accepted."""
-    files = [[(2400, "A", "1")], [(2460, "B", "2")], [(2520, "C", "3")], [(300, "D", "4")]]
+    files = [[(2400, "A", "1")], [(2460, "B", "2")], [(2520, "C", "3")], [(300, "D", "4"), (2450, "A", "5")]]
     for per_trigger in (1, 4):
         assert accepted(spark, tmp_dir, files, per_trigger) == ["1", "2", "3", "4"]
 
 
+def arrivals(spark, rows):
+    """(milliseconds, key, job id) as a batch."""
+    return spark.createDataFrame(rows, "ms long, dedup_key string, job_id string") \
+        .withColumn("arrived_at", F.timestamp_millis("ms")).drop("ms")
+
+
+def brute_sets(rows, seconds=60):
+    """(set start, key, job id) accepted from (milliseconds, key, job id) in order of time."""
+    starts, held, out = None, set(), []
+    for at, key, job in sorted(rows):
+        if starts is None or at >= starts + seconds * 1000 or at // 86_400_000 != starts // 86_400_000:
+            starts, held = at, set()
+        if key not in held:
+            held.add(key)
+            out.append((starts, key, job))
+    return sorted(out)
+
+
+def kept(spark, path):
+    return sorted((int(r.set_start.timestamp() * 1000 + 0.5), r.dedup_key, r.job_id)
+                  for r in ST.accepted_keys(spark, path).collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sets_match_brute_force_however_the_stream_is_cut(spark, tmp_dir, seed):
+    rng, at, rows = random.Random(seed), 86_400_000 * 20_000 - 200_000, []
+    for k in range(150):
+        at += rng.choice([0, 1, 400, 9_000, 30_000, 59_999, 60_000, 60_001, 3_700_000])
+        rows.append((at, f"k{rng.randrange(6)}", f"{k:03}"))
+    for cut in (1, 4):
+        path = f"{tmp_dir}/cut{cut}"
+        for b in range(cut):
+            part = rows[b * len(rows) // cut:(b + 1) * len(rows) // cut]
+            ST.accept_batch(arrivals(spark, part), path, 0, b)
+        assert kept(spark, path) == brute_sets(rows)
+
+
+def test_a_replayed_batch_and_a_new_checkpoint_keep_what_was_accepted(spark, tmp_dir):
+    path = f"{tmp_dir}/sets"
+    ST.accept_batch(arrivals(spark, [(1_000, "a", "1"), (2_000, "b", "2")]), path, 0, 0)
+    again = arrivals(spark, [(6_000, "a", "3"), (7_000, "c", "4")])
+    for _ in range(2):  # the second time replays the batch
+        ST.accept_batch(again, path, 0, 1)
+        assert kept(spark, path) == [(1000, "a", "1"), (1000, "b", "2"), (1000, "c", "4")]
+    ST.accept_batch(arrivals(spark, [(8_000, "a", "5"), (62_000, "b", "6")]), path, 1, 0)  # batches count from 0 again
+    assert kept(spark, path) == [(1000, "a", "1"), (1000, "b", "2"), (1000, "c", "4"), (62000, "b", "6")]
+
+
+def test_a_stream_with_a_lost_checkpoint_continues_the_open_set(spark, tmp_dir):
+    def run(name, lines):
+        write_lines(f"{tmp_dir}/{name}", lines, "0.json")
+        rows = spark.readStream.schema(ARRIVALS).json(f"{tmp_dir}/{name}")
+        return ST.stream_dedup(rows, f"{tmp_dir}/accepted", f"{tmp_dir}/checkpoint-{name}")
+
+    def line(second, title, job):
+        return '{"arrived_at":"2025-07-01T09:00:%02dZ","title":"%s","job_id":"%s","url":"u"}' % (second, title, job)
+
+    run("first", [line(1, "a", "1"), line(2, "b", "2")])
+    out = run("second", [line(6, "a", "3"), line(7, "c", "4")])
+    assert sorted(r.job_id for r in out.collect()) == ["1", "2", "4"]
+
+
+def test_a_batch_reads_the_hours_of_its_sets_only(spark, tmp_dir):
+    path, read = f"{tmp_dir}/sets", []
+    for b in range(50):
+        ST.accept_batch(arrivals(spark, [(b * 1_800_000 + k, f"k{k}", f"{b}-{k}") for k in range(20)]), path, 0, b)
+    for b in (3, 25, 49):
+        hour = b // 2
+        before = dedup.before_batch(spark, path, 0, b, hour, hour)
+        plan = before._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(set_hour" in plan and "ReadSchema" in plan
+        read.append(len({r.f for r in before.select(F.input_file_name().alias("f")).collect()}))
+    assert max(read) <= 2 * read[0] <= 8  # flat, though 50 batches lie there
+    assert len(kept(spark, path)) == 1000
+
+
+def test_whole_hours_of_old_sets_expire(spark, tmp_dir):
+    path = f"{tmp_dir}/sets"
+    assert ST.expire_sets(spark, path, dt.datetime(2030, 1, 1)) == []
+    ST.accept_batch(arrivals(spark, [(k * 3_600_000, "a", str(k)) for k in range(5)]), path, 0, 0)
+    assert ST.expire_sets(spark, path, dt.datetime(1970, 1, 1, 2, 30, tzinfo=dt.timezone.utc)) == [0, 1]
+    assert [r[2] for r in kept(spark, path)] == ["2", "3", "4"]
+    ST.accept_batch(arrivals(spark, [(4 * 3_600_000 + 5, "a", "5")]), path, 0, 1)
+    assert [r[2] for r in kept(spark, path)] == ["2", "3", "4"]
+
+
 def test_dedup_does_not_depend_on_the_batches(spark):
     from jobtide.plans.queries import dedup_stream
     results = [sorted(tuple(r) for r in dedup_stream(spark, "/root/testdata/sf0.001", n).collect())
-               for n in (1, 4)]
+               for n in (1, 3)]
     assert results[0] == results[1]
 
 
