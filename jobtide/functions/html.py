@@ -33,7 +33,8 @@ def element(tag: str, having: str = "") -> str:
 
 H1, TITLE, LIST_ITEM, PARAGRAPH, LINK = map(element, ("h1", "title", "li", "p", "a"))
 TAG = r"<[^>]*>"
-HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+HIDDEN = r"(?s)<(?:!--.*?--|(?i:(script|style))\b[^>]*>.*?</(?i:\1)\s*)>"
+NOT_PLAIN = r"[<&]|\s\s|[^\S ]"  # tags, entities, white space other than single spaces
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]+)"
 URL_PAGE = r"[?&]page=(\d+)"
 # The entities that markup itself needs, `&amp;` last.
@@ -47,17 +48,26 @@ def visible(html: Column | str) -> Column:
 
 
 def plain_text(markup: Column) -> Column:
-    """Text of a piece of markup: no tags, entities decoded, white space collapsed and trimmed."""
+    """Text of a piece of markup: no tags, entities decoded, white space collapsed and trimmed.
+
+    Most pieces are plain already, so one look decides whether there is more to do than trim.
+    """
     text = F.regexp_replace(markup, TAG, "")
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return java_trim(collapse_ws(text))
+    return F.when(markup.rlike(NOT_PLAIN), java_trim(collapse_ws(text))).otherwise(java_trim(markup))
+
+
+def once(value: Column, body) -> Column:
+    """`body(value)` with the value computed once: inlined, it would be computed at each use."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def extract_field(html: Column | str, pattern: str, fallback: str | None = None) -> Column:
     """Text of the first group of `pattern`; '' -> null."""
     def one(p):
-        return F.nullif(plain_text(F.regexp_extract(_c(html), p, 1)), F.lit(""))
+        text = once(F.regexp_extract(_c(html), p, 1), plain_text)
+        return once(text, lambda t: F.nullif(t, F.lit("")))
     return one(pattern) if fallback is None else F.coalesce(one(pattern), one(fallback))
 
 
@@ -66,11 +76,13 @@ def extract_all_text(html: Column | str, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(_c(html), F.lit(pattern), 1), plain_text)
 
 
-def labelled_item(html: Column | str, label: str, inner: str = PARAGRAPH) -> Column:
-    """Text of the first `inner` element of the first list item whose text has `label`."""
-    items = F.regexp_extract_all(_c(html), F.lit(LIST_ITEM), 1)
-    item = F.get(F.filter(items, lambda x: plain_text(x).contains(label)), 0)
-    return extract_field(item, inner)
+def labelled_item(items: Column, texts: Column, label: str, inner: str = PARAGRAPH) -> Column:
+    """Text of the first `inner` element of the first of the list items whose text has `label`.
+
+    `items` and `texts` are the items' markup and text, which every label of a page shares.
+    """
+    place = F.array_position(F.transform(texts, lambda x: x.contains(label)), True)
+    return extract_field(F.get(items, (place - 1).cast("int")), inner)
 
 
 def nth_item(html: Column | str, pattern: str, i: int) -> Column:

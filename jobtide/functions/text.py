@@ -17,8 +17,8 @@ CATEGORY_SEPARATORS = r"[>/,|\-]"
 # Skills arrive as one comma list: comma, then optional whitespace.
 SKILL_SEPARATOR = r",\s*"
 # A Java String.trim() strips every char <= U+0020 at both ends;
-# Spark's trim() strips spaces only.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Spark's trim() strips spaces only, btrim() the characters it is given.
+_JAVA_TRIM = "".join(map(chr, range(0x21)))
 _FIRST_CATEGORY_TOKEN = r"^[>/,|\-\x00-\x20]*([^>/,|\-]*)"
 
 
@@ -28,7 +28,7 @@ def _c(col: Column | str) -> Column:
 
 def java_trim(col: Column | str) -> Column:
     """Strip all control chars and spaces (<= U+0020) at both ends."""
-    return F.regexp_replace(_c(col), _JAVA_TRIM, "")
+    return F.btrim(_c(col), F.lit(_JAVA_TRIM))
 
 
 def collapse_ws(col: Column | str) -> Column:

@@ -94,7 +94,12 @@ def page_postings(pages: DataFrame, label_source: str, id_col: str = "job_id", h
     seen = pages.select(id_col, "url", "source", J.html.visible(html_col).alias("_h"))
     html, labels = F.col("_h"), F.col("source") == label_source
     posted = J.label_value(html, J.html.LABEL_POSTED)
-    spans = seen.withColumns({"_spans": J.extract_all_text(html, SPAN_INFO), "_posted": posted})
+    # What several fields use is staged: each pattern scans a page once.
+    spans = seen.withColumns({
+        "_spans": F.when(labels, J.extract_all_text(html, SPAN_INFO)), "_posted": F.when(labels, posted),
+        "_items": F.when(~labels, F.regexp_extract_all(html, F.lit(J.html.LIST_ITEM), F.lit(1)))}) \
+        .withColumn("_texts", F.transform("_items", J.html.plain_text))
+    items, texts = F.col("_items"), F.col("_texts")
     expiry = J.format_wire_date(J.relative_expiry(J.parse_wire_date("_posted"), F.get("_spans", 0)))
     by_label = {
         **{name: J.extract_field(html, p) for name, p in LABEL_FORM.items()},
@@ -105,10 +110,10 @@ def page_postings(pages: DataFrame, label_source: str, id_col: str = "job_id", h
     }
     by_box = {
         **{name: J.extract_field(html, p) for name, p in BOX_FORM.items()},
-        "salary": J.labelled_item(html, J.html.ITEM_SALARY),
-        "category": J.labelled_item(html, J.html.ITEM_INDUSTRY, J.html.LINK),
-        "posted_at": J.labelled_item(html, J.html.ITEM_POSTED),
-        "expired_at": J.labelled_item(html, J.html.ITEM_EXPIRY),
+        "salary": J.labelled_item(items, texts, J.html.ITEM_SALARY),
+        "category": J.labelled_item(items, texts, J.html.ITEM_INDUSTRY, J.html.LINK),
+        "posted_at": J.labelled_item(items, texts, J.html.ITEM_POSTED),
+        "expired_at": J.labelled_item(items, texts, J.html.ITEM_EXPIRY),
         "skill": F.nullif(requirements_text(html), F.lit("")),
     }
     return spans.select(id_col, "url", "source", *(

@@ -4,11 +4,14 @@ import math
 import re
 from collections import Counter
 
-
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from jobtide import functions as J
 from jobtide import operators as O
 from jobtide import sources as S
+from jobtide.plans import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +100,29 @@ def test_label_values(spark):
                   J.label_value("html", "Nested").alias("n")).collect()
     assert (r[0].p, r[0].i, r[0].s, r[0].n) == ("01/07/2025", "IT - Phần mềm", None, "yes & so")
     assert (r[1].p, r[1].i, r[1].s) == (None, None, None)
+
+
+def brute_plain(markup):
+    text = re.sub(r"<[^>]*>", "", markup)
+    for entity, character in J.html.ENTITIES:
+        text = text.replace(entity, character)
+    text = re.sub(r"[ \t\n\x0b\f\r]+", " ", text)
+    return text.strip("".join(map(chr, range(0x21))))
+
+
+@settings(max_examples=25, deadline=None, derandomize=True)
+@given(st.lists(st.lists(st.sampled_from(["a", "é ", " ", "\t", "\n", "\x00", "\x1f", "<b>", "</b>", "<", ">", "&amp;", "&lt;", "&nbsp;",
+                                          "&", " ", "x y"]), max_size=9).map("".join), min_size=1, max_size=40))
+def test_plain_text_matches_brute_force(spark, pieces):
+    df = spark.createDataFrame(list(enumerate(pieces)), "i long, m string")
+    got = df.select("i", J.html.plain_text(F.col("m")).alias("t"),
+                    J.extract_field(F.concat(F.lit("<p>"), "m", F.lit("</p>")), J.html.PARAGRAPH).alias("f")).collect()
+    for r in got:
+        assert r.t == brute_plain(pieces[r.i])
+        assert r.f == (brute_plain(pieces[r.i]) or None)
+
+
+def test_a_page_is_scanned_once_for_the_items_that_labels_share(spark):
+    rows = FX.rendered_pages(S.jobs(spark, SF))
+    plan = O.page_postings(rows, FX.LABEL_SOURCE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(_h") == 2 and "Join" not in plan  # spans and list items
