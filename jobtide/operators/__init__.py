@@ -10,6 +10,7 @@ from .lake import (PARTITION_COLUMNS, after, lake_current, lake_layout, latest_b
                    read_current, read_lake, read_or_empty, run_of, snapshot_current,
                    with_scraped_month, write_lake_batch)
 from .mart import NEGOTIABLE_PHRASES, mart_clean, negotiable_filter, with_salary
+from .merge import merge_batch, merge_lake, merged_state, read_merged, upserted
 from .pages import cap_listing, cap_per_group, page_fields, page_postings, with_listing_position
 from .publish import publish_envelope
 from .rollups import category_count, category_salary, count_by, location_count
@@ -24,6 +25,7 @@ __all__ = [
     "PARTITION_COLUMNS", "after", "lake_current", "lake_layout", "latest_batch", "read_current",
     "read_lake", "read_or_empty", "run_of", "snapshot_current", "with_scraped_month",
     "write_lake_batch",
+    "merge_batch", "merge_lake", "merged_state", "read_merged", "upserted",
     "NEGOTIABLE_PHRASES", "mart_clean", "negotiable_filter", "with_salary",
     "cap_listing", "cap_per_group", "page_fields", "page_postings", "with_listing_position",
     "publish_envelope", "category_count", "category_salary", "count_by", "location_count",

@@ -318,6 +318,12 @@ WHERE rn = 1""",
 SELECT job_id, source, title, scraped_at, CAST(1 AS BIGINT) AS batch_id
 FROM lake WHERE CAST(job_id AS BIGINT) % 3 = 0""",
 
+    "lake_merged": _with(JOBS, LAKE) + """
+SELECT job_id, source, scraped_at, CASE WHEN CAST(job_id AS BIGINT) % 2 = 0 THEN title || ' (updated)' ELSE title END AS title,
+       len(skill) AS n_skills, array_to_string(skill, '|') AS skills, posted_at,
+       CASE WHEN CAST(job_id AS BIGINT) % 2 = 0 THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS batch_id
+FROM lake WHERE CAST(job_id AS BIGINT) % 2 = 0 OR CAST(job_id AS BIGINT) % 3 > 0""",
+
     "page_postings": _with(JOBS, RECORDS) + f"""
 SELECT r.jobId AS job_id, r.url, r.source, {shown('r.title')} AS title, {shown('r.company')} AS company,
        {shown('r.location')} AS location, {shown('r.salary')} AS salary, {shown('r.category')} AS category,

@@ -291,6 +291,19 @@ def lake_newer(spark, sf_dir):
     return O.lake_current(newer).select("job_id", "source", "title", "scraped_at", "batch_id")
 
 
+def lake_merged(spark, sf_dir):
+    """Write-side upsert: two lake batches are merged into a base bucketed on the key, one after the
+    other; the second renews half of the postings. The current view is a scan of the base."""
+    path = run_dir(spark, "lake_merged")
+    number, lake = F.col("job_id").cast("bigint"), _lake(spark, sf_dir)
+    retitled = lake.withColumn("title", F.concat("title", F.lit(UPDATED_TITLE_SUFFIX)))
+    for batch_id, rows in enumerate((lake.filter(number % 3 > 0), retitled.filter(number % 2 == 0))):
+        O.write_lake_batch(rows, batch_id, f"{path}/lake")
+        O.merge_lake(spark, f"{path}/lake", f"{path}/base", (0, batch_id))
+    return O.read_merged(spark, f"{path}/base").select(
+        "job_id", "source", "scraped_at", "title", *_skills_text(), "posted_at", "batch_id")
+
+
 # ------------------------------------------------------------------ pages
 
 def cap_per_group(spark, sf_dir):
@@ -395,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_layout": lake_layout,
     "lake_current": lake_current,
     "lake_newer": lake_newer,
+    "lake_merged": lake_merged,
     "cap_per_group": cap_per_group,
     "page_fields": page_fields,
     "page_postings": page_postings,
