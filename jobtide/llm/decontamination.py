@@ -1,8 +1,10 @@
 """Benchmark decontamination: size-partitioned MinHash containment, verified exactly.
 
-Words are lower-cased (A-Z) runs between ASCII white space and punctuation;
-texts are sets of word shingles. A document is contaminated if it contains at
-least `percent` of an item's shingles, however long the document is.
+Texts are composed (NFC) and lower-cased; words are runs of letters and digits,
+of any script. Texts are sets of word shingles; an item of fewer words than a
+shingle is one shingle, its whole sequence, and documents are probed for windows
+of that length too. A document is contaminated if it contains at least `percent`
+of an item's shingles, however long the document is.
 
 Signatures of whole documents cannot find a short item in a long text (their
 Jaccard similarity is near 0), so the MinHash sketches are of the items: the
@@ -12,41 +14,53 @@ items up to the sketch size are held in full and never fail). One pass over
 the documents probes every shingle of the whole text against the retained
 values; candidates are verified on full shingle sets.
 
-The items are the stated query set. They are dealt into blocks of about
-BLOCK_SHINGLES shingles (32 MB of hashes), so what a task holds is bounded;
-the documents flow through one narrow pass per block, without any shuffle.
+The items are the stated query set. They are a written table dealt into blocks of
+about BLOCK_SHINGLES shingles (32 MB of hashes), and one pass over the documents
+takes one block, so neither the driver nor a task holds more than a block. A pass
+is narrow; with several blocks the rows are written between passes.
 
-Defined results: items with fewer words than a shingle match nothing, nor do
-null texts. Repeated items are each reported; items with null ids count as
-matches but are not listed. Repeated documents are each judged. Other columns
-pass through `uncontaminated`.
+Defined results: items without words match nothing, nor do null texts. Repeated
+items are each reported; items with null ids count as matches but are not listed.
+Repeated documents are each judged. Other columns pass through `uncontaminated`.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import string
+import unicodedata
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary_slices, list_array, staged, text_of, window_hashes
+from .common import WordHashes, list_array, mixed, staged, text_of, window_hashes
 
 SKETCH = 64
 MISS = 1e-9
 BLOCK_SHINGLES = 4_000_000
 MATCHES = "array<struct<item_id: long, share: double>>"
 
-# A-Z in lower case; ASCII punctuation and control characters as spaces.
-NORMAL = bytes.maketrans(
-    (string.ascii_uppercase + string.punctuation).encode() + bytes(range(32)) + b"\x7f",
-    string.ascii_lowercase.encode() + b" " * (len(string.punctuation) + 33))
+WORD = re.compile(r"[^\W_]+")
+# The same for ASCII, faster: A-Z in lower case; punctuation and control characters as spaces.
+NORMAL = str.maketrans(
+    string.ascii_uppercase + string.punctuation + "".join(map(chr, range(32))) + "\x7f",
+    string.ascii_lowercase + " " * (len(string.punctuation) + 33))
 
 
-def normal_words(text: bytes) -> list[bytes]:
-    return text.translate(NORMAL).split()
+def normal_words(text: str) -> list[str]:
+    if text.isascii():
+        return text.translate(NORMAL).split()
+    return WORD.findall(unicodedata.normalize("NFC", text).lower())
+
+
+def windows_of(hashes: np.ndarray, lengths: Iterable[int], words: int) -> np.ndarray:
+    """Hashes of the windows of each of these lengths; those under `words` are kept apart."""
+    parts = [window_hashes(hashes, n) if n == words else mixed(window_hashes(hashes, n) + np.uint64(n)) for n in lengths]
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
 def retained_needed(size: int, percent: int) -> int:
@@ -61,32 +75,40 @@ def retained_needed(size: int, percent: int) -> int:
     return SKETCH
 
 
-def item_sets(items: DataFrame, words: int) -> DataFrame:
-    """(item_id, shingles) of the items that have any, dealt into blocks."""
+def item_sets(items: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """(item_id, length, shingles, block) of the items that have words, and the number of blocks.
+
+    `length` is the words of a shingle: fewer than `words` if the item has no more.
+    """
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [np.unique(window_hashes(hashes.of(normal_words(t)), words)).view(np.int64)
-                    for t in binary_slices(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(pa, sets, pa.int64())],
-                                             names=["item_id", "shingles"])
-
-    sets = staged(items.select(F.col("item_id").cast("long").alias("item_id"),
-                               text_of().cast("binary").alias("text"))
-                  .mapInArrow(run, "item_id long, shingles array<long>").filter(F.size("shingles") > 0),
-                  "items")
+            lengths, sets = [], []
+            for text in batch.column(1).to_pylist():
+                own = hashes.of(normal_words(text))
+                lengths.append(min(words, len(own)))
+                sets.append(np.unique(windows_of(own, lengths[-1:] if len(own) else (), words)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(lengths, pa.int32()), list_array(pa, sets, pa.int64())],
+                names=["item_id", "length", "shingles"])
+
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
+    sets = rows.mapInArrow(run, "item_id long, length int, shingles array<long>").filter("length > 0")
+    sets = staged(sets, "items")
     total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_SHINGLES))
     return sets.withColumn("block", F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks))), int(blocks)
 
 
 class Index:
-    """The retained values of a block of items and their full sets."""
-
-    def __init__(self, items: list[tuple[int | None, np.ndarray]], percent: int):
-        self.ids = [i for i, _ in items]
-        self.sets = [s for _, s in items]
-        self.percent = percent
+    """The retained values of a block of items (item_id, length, shingles) and their full sets."""
+
+    def __init__(self, items: pa.Table, words: int, percent: int):
+        items = items.combine_chunks()
+        self.ids = items.column("item_id").to_pylist()
+        self.lengths = sorted(set(items.column("length").to_pylist()))
+        self.sets = [np.asarray(x.values).view(np.uint64) for x in items.column("shingles")]
+        self.words, self.percent = words, percent
         self.needed = np.array([retained_needed(len(s), percent) for s in self.sets], int)
         kept = [s[:SKETCH] for s in self.sets]
         flat = np.concatenate(kept) if kept else np.empty(0, np.uint64)
@@ -100,8 +122,12 @@ class Index:
         self.maybe = np.zeros(1 << bits, bool)
         self.maybe[self.values >> self.shift] = True
 
-    def matches(self, windows: np.ndarray) -> list[tuple[int | None, float]]:
-        """(item id, share of its shingles that the document holds) for contained items."""
+    def matches(self, hashes: np.ndarray) -> list[tuple[int | None, float]]:
+        """(item id, share of its shingles that the document holds) for contained items.
+
+        `hashes` are those of the document's words.
+        """
+        windows = windows_of(hashes, self.lengths, self.words)
         probes = windows[self.maybe[windows >> self.shift]]
         if not len(probes):
             return []
@@ -122,37 +148,38 @@ class Index:
 
 
 def with_matches(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80,
-                 carry: tuple[str, ...] | None = None) -> DataFrame:
-    """The columns `carry` of every row (default: all) and `__matches`: the contained items."""
+                 carry: tuple[str, ...] | None = None, into: str = "__matches") -> DataFrame:
+    """The columns `carry` of every row (default: all) and `into`: the contained items."""
     carry = tuple(docs.columns) if carry is None else carry
     sets, blocks = item_sets(items, words)
     whole = list(dict.fromkeys([*carry, "text"]))
-    flow = docs.select(*whole).withColumn("__matches", F.lit(None).cast(MATCHES))
+    flow = docs.select(*whole, F.lit(None).cast(MATCHES).alias(into))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
     at = whole.index("text")
     for block in range(blocks):
-        index = Index([(r["item_id"], np.array(r["shingles"], np.int64).view(np.uint64))
-                       for r in sets.filter(F.col("block") == block).select("item_id", "shingles").collect()],
-                      percent)
-
-        out = whole if block < blocks - 1 else list(carry)
+        index = Index(sets.filter(F.col("block") == block).select("item_id", "length", "shingles").toArrow(), words, percent)
+        last = block == blocks - 1
+        out = list(carry) if last else whole
 
         def run(batches, index=index, out=out):
             hashes = WordHashes()
             for batch in batches:
-                texts = batch.column(at)
-                found = [index.matches(window_hashes(hashes.of(normal_words((t or "").encode())), words))
-                         for t in texts.to_pylist()]
+                found = [index.matches(hashes.of(normal_words(t or ""))) for t in batch.column(at).to_pylist()]
                 before = batch.column(len(whole)).to_pylist()
                 both = [(old or []) + [{"item_id": i, "share": s} for i, s in new]
                         for old, new in zip(before, found)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(whole.index(c)) for c in out),
-                                                  pa.array(both, kind)], names=[*out, "__matches"])
+                                                  pa.array(both, kind)], names=[*out, into])
 
-        flow = flow.mapInArrow(run, flow.select(*out, "__matches").schema)
+        flow = flow.mapInArrow(run, flow.select(*out, into).schema)
+        if not last:
+            flow = staged(flow, "matches")
     return flow
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs`, all columns, that contain no item."""
-    return with_matches(docs, items, words, percent).filter(F.size("__matches") == 0).drop("__matches")
+    into = "__matches"
+    while into in docs.columns:
+        into += "_"
+    return with_matches(docs, items, words, percent, into=into).filter(F.size(into) == 0).drop(into)

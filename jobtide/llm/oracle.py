@@ -70,12 +70,13 @@ DECONTAMINATION = r"""
 WITH t AS (
  SELECT 'd' kind, doc_id id, coalesce(text, '') t FROM documents
  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
-w AS (
- SELECT kind, id, regexp_extract_all(translate(regexp_replace(t, '[!-/:-@\[-`{-~\x00-\x1F\x7F]', ' ', 'g'),
-  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ ]+') ws FROM t),
+w AS (SELECT kind, id, regexp_extract_all(lower(nfc_normalize(t)), '[\p{L}\p{N}]+') ws FROM t),
+-- An item of fewer than five words is one shingle; documents have windows of its length too.
+lengths AS (SELECT DISTINCT least(len(ws), 5) k FROM w WHERE kind = 'b' AND len(ws) > 0),
 s AS (
- SELECT kind, id, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - 3, 1)),
-  lambda i: array_to_string(ws[i:i + 4], ' ')))) h FROM w),
+ SELECT kind, id, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - k + 2, 1)),
+  lambda i: array_to_string(ws[i:i + k - 1], ' ')))) h
+ FROM w, lengths WHERE kind = 'd' OR k = least(len(ws), 5)),
 item AS (SELECT id, h, count(*) OVER (PARTITION BY id) n FROM s WHERE kind = 'b'),
 found AS (
  SELECT s.id doc_id, item.id item_id FROM s JOIN item ON s.h = item.h WHERE s.kind = 'd'

@@ -2,11 +2,13 @@
 
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 import pytest
 from conftest_llm import prose
+from pyspark.sql import functions as F
 
 from jobtide.llm import decontamination as D
 from jobtide.llm import line_quality as L
@@ -98,20 +100,25 @@ def test_toxicity_on_held_out_rows(spark):
 
 def brute_items(text, items, percent=80):
     def words(t):
-        return re.sub(r"[!-/:-@\[-`{-~\x00-\x1f\x7f]", " ", (t or "").translate(
-            {k: k + 32 for k in range(65, 91)})).split(" ")
+        return re.findall(r"[^\W_]+", unicodedata.normalize("NFC", t or "").lower())
 
-    def shingles(t):
-        w = [x for x in words(t) if x]
-        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    def shingles(t, n):
+        w = words(t)
+        return {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}
 
-    own = shingles(text)
-    return sorted(i for i, t in items if shingles(t) and 100 * len(shingles(t) & own) >= percent * len(shingles(t)))
+    found = []
+    for i, t in items:
+        n = min(5, len(words(t)))
+        if n and 100 * len(shingles(t, n) & shingles(text, n)) >= percent * len(shingles(t, n)):
+            found.append(i)
+    return sorted(found)
 
 
 def test_containment_matches_brute_force(spark, documents, monkeypatch):
     rng = random.Random(5)
     items = [(k, prose(rng.choice([3, 5, 9, 40, 60, 90, 300]), 100 + k)) for k in range(30)] + [(90, None), (91, "")]
+    items += [(60, "one"), (61, "two words"), (62, "It\u2019s three words"), (63, "quatre mots \u00c9T\u00c9 c\u00f4t\u00e9"), (64, "... !"),
+              (65, "Les \u00e9l\u00e8ves \u00abparlent\u00bb \u2014 souvent de la mer \u00c9T\u00c9")]
     rows = []
     for k in range(80):
         i, t = items[rng.randrange(30)]
@@ -120,6 +127,9 @@ def test_containment_matches_brute_force(spark, documents, monkeypatch):
             words[rng.randrange(len(words))] = "changed"
         text = prose(rng.randrange(0, 900), k) + " " + " ".join(words).upper() + ", " + prose(50, 1000 + k)
         rows.append((k, text))
+    rows += [(300, "this is ONE."), (301, "only two\nwords here; it's: three, words"), (302, "two  other words"),
+             (303, "Quatre mots e\u0301te\u0301 \u201cc\u00d4t\u00e9\u201d fin"), (304, "\u2026les \u00c9L\u00c8VES parlent souvent de la mer e\u0301t\u00e9"),
+             (305, "les eleves parlent souvent de la mer ete"), (306, "five words that no item holds")]
     rows += [(200, None), (201, ""), (200, None), (None, items[4][1]), (202, prose(30_000, 3) + "\n" + items[5][1])]
     table = spark.createDataFrame(items, "item_id long, text string")
     docs = documents(rows)
@@ -131,6 +141,8 @@ def test_containment_matches_brute_force(spark, documents, monkeypatch):
     kept = D.uncontaminated(docs, table)
     assert kept.columns == docs.columns
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(i for i, found in expected if not found)
+    clash = docs.withColumn("__matches", F.lit("own"))
+    assert {r["__matches"] for r in D.uncontaminated(clash, table).collect()} == {"own"}
 
 
 def test_decontamination_of_empty_tables(spark, documents):
