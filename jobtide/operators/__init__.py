@@ -6,7 +6,7 @@ from .incremental import (DEFAULT_MARK, high_water_mark, incremental_load, mark_
 from .ingest import (all_records, decode_value, ingest_counts, parse_json, parse_records,
                      split_quarantine, to_lake_rows, with_row_count)
 from .keywords import doc_terms, tfidf, top_keywords
-from .lake import (PARTITION_COLUMNS, after, lake_current, lake_layout, latest_batch,
+from .lake import (PARTITION_COLUMNS, after, file_system, lake_current, lake_layout, latest_batch,
                    read_current, read_lake, read_or_empty, run_of, snapshot_current,
                    with_scraped_month, write_lake_batch)
 from .mart import NEGOTIABLE_PHRASES, mart_clean, negotiable_filter, with_salary
@@ -22,7 +22,7 @@ __all__ = [
     "all_records", "decode_value", "ingest_counts", "parse_json", "parse_records",
     "split_quarantine", "to_lake_rows",
     "with_row_count", "doc_terms", "tfidf", "top_keywords",
-    "PARTITION_COLUMNS", "after", "lake_current", "lake_layout", "latest_batch", "read_current",
+    "PARTITION_COLUMNS", "after", "file_system", "lake_current", "lake_layout", "latest_batch", "read_current",
     "read_lake", "read_or_empty", "run_of", "snapshot_current", "with_scraped_month",
     "write_lake_batch",
     "merge_batch", "merge_lake", "merged_state", "read_merged", "upserted",

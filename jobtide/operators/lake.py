@@ -141,10 +141,30 @@ def after(run: int, batch_id: int) -> Column:
     return (F.col("run") > run) | ((F.col("run") == run) & (F.col("batch_id") > batch_id))
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of `path`, and the function that names a place in it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """N of the folders `name=N` in `path`, falling; none if there is no such path."""
+    files, make = file_system(spark, path)
+    found = [s.getPath().getName() for s in files.listStatus(make(path))] if files.exists(make(path)) else []
+    return sorted((int(f.removeprefix(f"{name}=")) for f in found if f.startswith(f"{name}=")), reverse=True)
+
+
 def latest_batch(spark: SparkSession, lake_path: str) -> tuple[int, int]:
-    """(run, batch_id) of the newest batch with rows; (-1, -1) for an empty lake."""
-    newest = read_lake(spark, lake_path).agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"]
-    return (-1, -1) if newest is None else tuple(newest)
+    """(run, batch_id) of the newest finished batch; (-1, -1) for an empty lake.
+
+    Only folders are listed, newest first: no file is opened.
+    """
+    files, make = file_system(spark, lake_path)
+    for run in numbered_folders(spark, lake_path, "run"):
+        for batch in numbered_folders(spark, f"{lake_path}/run={run}", "batch_id"):
+            if files.exists(make(f"{lake_path}/run={run}/batch_id={batch}/_SUCCESS")):
+                return run, batch
+    return -1, -1
 
 
 def snapshot_current(spark: SparkSession, lake_path: str, snapshot_path: str,

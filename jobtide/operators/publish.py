@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..schema import WIRE_SCHEMA
 
 
-def publish_envelope(records: DataFrame) -> DataFrame:
-    """DF[wire record] -> DF[key, value].
+def publish_envelope(records: DataFrame, *keep: str) -> DataFrame:
+    """DF[wire record] -> DF[key, value], and the columns `keep`.
 
     The value keeps every wire field, nulls included (`"company":null`), with
     `createdAt` in its int-array form. Map-only.
@@ -18,4 +18,5 @@ def publish_envelope(records: DataFrame) -> DataFrame:
     return records.select(
         F.col("category").alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        *keep,
     )

@@ -1,24 +1,21 @@
 """The whole run, in the source system's order, as Spark jobs.
 
-collect -> seen check (per-day key set, anti join) -> publish (message
-files, or Kafka when configured) -> record keys as seen -> stream ingest into
-the lake -> mart load of the lake's new batches -> rollups.
+collect -> seen check (per-day key set, anti join) -> commit of messages and
+seen keys under one publish id -> delivery (message files, or Kafka when
+configured) -> stream ingest into the lake -> mart load of the lake's new
+batches -> rollups.
 
-The seen set of a run is a day's, kept in files and recorded after its messages
-are written. The collectors' 60-second expiry belongs to a stream of arrivals:
+The seen set of a run is a day's, kept with the messages it stands for (`outbox`). The collectors' 60-second expiry belongs to a stream of arrivals:
 `streaming.stream_dedup` has it, for callers that publish continuously.
 
-Every step is restartable: published messages are read back by a
-checkpointed stream, each micro-batch overwrites its own lake folder, the
-mart append commits per job, and keys are recorded as seen only after
-their messages are written (so a crash re-publishes instead of losing a
-posting; the lake upsert absorbs the repeat).
+Every step is restartable: a publish that was committed and not delivered is
+delivered by the next run, one that was not committed leaves nothing behind,
+delivered messages are read back by a checkpointed stream, each micro-batch
+overwrites its own lake folder, and the mart append commits per job.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +25,7 @@ from .. import sources as S
 from .. import streaming as ST
 from ..schema import MART_COLUMNS, MART_SCHEMA
 from ..session import run_dir
+from . import outbox
 
 
 def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, day=None,
@@ -41,29 +39,25 @@ def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, da
     Returns row counts and the two rollup DataFrames.
     """
     work = work or run_dir(spark, "run")
-    topic, seen_path = f"{work}/topic", f"{work}/seen"
+    topic, box = f"{work}/topic", f"{work}/outbox"
     lake, mart = f"{work}/lake", f"{work}/mart"
     day_col = F.current_date() if day is None else F.lit(day).cast("date")
 
+    # What a run that died has committed and not delivered comes first.
+    def deliver():
+        if kafka:
+            return outbox.send(spark, box, lambda e: S.kafka_publish(e, kafka["bootstrap"], kafka["topic"]))
+        return outbox.deliver(spark, box, topic)
+
+    deliver()
     # Seen check and set add: the first record per (day, key) wins; keys
     # already seen today are skipped.
     keyed = records.withColumns({"dedup_key": J.dedup_key("title", "url"), "day": day_col})
-    seen = O.read_or_empty(spark, seen_path, "dedup_key string, day date")
+    seen = outbox.committed(spark, box).filter(F.col("day") == day_col)
     fresh = O.dedup_batch(O.drop_seen(keyed, seen, keys=["day", "dedup_key"]),
                           keys=["day", "dedup_key"], order=("jobId",), count_col=None)
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_published = fresh.count()
-        if n_published:
-            envelope = O.publish_envelope(fresh.drop("dedup_key", "day"))
-            if kafka:
-                S.kafka_publish(envelope, kafka["bootstrap"], kafka["topic"])
-            else:
-                envelope.select("value").write.mode("append").text(topic)
-            fresh.select("dedup_key", "day").write.mode("append").partitionBy("day") \
-                .parquet(seen_path)
-    finally:
-        fresh.unpersist()
+    n_published = outbox.commit(spark, box, O.publish_envelope(fresh, "dedup_key", "day"))
+    deliver()
 
     # Stream ingest: whatever is new on the topic since the last run.
     if kafka:
@@ -72,7 +66,8 @@ def run_all(spark: SparkSession, records: DataFrame, work: str | None = None, da
     else:
         src_fmt, src_opts, src_path = "text", {}, topic
     counts = []
-    if kafka or n_published or _exists(spark, topic):
+    files, path = O.file_system(spark, topic)
+    if kafka or files.exists(path(topic)):
         counts = ST.stream_ingest(spark, src_fmt, src_opts, lake, f"{work}/checkpoints/ingest",
                                   path=src_path)
 
@@ -106,7 +101,11 @@ def load_mart(spark: SparkSession, lake: str, mart: str, loaded: str) -> int:
     fresh = O.lake_current(O.read_lake(spark, lake).filter(O.after(*since) & ~O.after(*newest))
                            .drop("scraped_month")).drop("run", "batch_id")
     rows = O.mart_clean(fresh)
-    held = O.read_or_empty(spark, mart, MART_SCHEMA).select("source", "scraped_at", "job_id")
+    # Only the mart's row groups of the fresh rows' times are read.
+    span = fresh.agg(F.min("scraped_at").alias("a"), F.max("scraped_at").alias("b")) \
+        .select(J.timestamp_text("a"), J.timestamp_text("b")).first()
+    held = O.read_or_empty(spark, mart, MART_SCHEMA).select("source", "scraped_at", "job_id") \
+        .filter(F.col("scraped_at").between(*span))
     out, seen = O.with_row_count(rows.join(held, ["source", "scraped_at", "job_id"], "left_anti")
                                  .select(*MART_COLUMNS), "mart_rows")
     O.parquet_mart_sink(mart)(out)
@@ -114,14 +113,6 @@ def load_mart(spark: SparkSession, lake: str, mart: str, loaded: str) -> int:
     return int(seen.get["rows"])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
-
-
 def main(argv: list[str] | None = None) -> dict:
     """Command line: run everything once over the postings view of a table folder.
 

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import with_dedup_key
-from ..operators.lake import read_or_empty, run_of
+from ..operators.lake import file_system, numbered_folders, read_or_empty, run_of
 
 EXPIRY_SECONDS = 60
 MANY_SETS = 100_000      # up to so many sets of a batch are broadcast
@@ -162,13 +162,11 @@ def expire_sets(spark: SparkSession, path: str, before: dt.datetime) -> list[int
     oldest = int(before.timestamp() * 1000) // HOUR_MS
     dropped = set()
     for name in ("keys", "sets"):
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        for status in files.listStatus(folder) if files.exists(folder) else ():
-            key, _, hour = status.getPath().getName().partition("=")
-            if key == "set_hour" and int(hour) < oldest:
-                files.delete(status.getPath(), True)
-                dropped.add(int(hour))
+        files, make = file_system(spark, path)
+        for hour in numbered_folders(spark, f"{path}/{name}", "set_hour"):
+            if hour < oldest:
+                files.delete(make(f"{path}/{name}/set_hour={hour}"), True)
+                dropped.add(hour)
     return sorted(dropped)
 
 
