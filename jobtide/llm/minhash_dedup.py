@@ -41,7 +41,8 @@ from .components import connected_components
 
 SKETCH = 48     # retained values of a set
 MISS = 1e-9     # accepted chance that a link's sketches share too few values
-BLOCK = 1024    # members of a family compared with as many others in one task
+BLOCK = 1024    # members of a family compared with as many others in one task,
+BLOCK_SHINGLES = 1 << 20  # or fewer, of about so many shingles (8 MB of hashes)
 
 SKETCHED = ("doc_id long, text_md5 binary, n_shingles long, set_id binary, sketch array<long>")
 
@@ -91,7 +92,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _listed(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, set_id, weight): each class under its rarest retained values."""
+    """(value, set_id, weight, n_shingles): each class under its rarest retained values."""
     postings = classes.select("set_id", "n_shingles", F.explode("sketch").alias("value"))
     shared = staged(postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
     size = F.size("values")
@@ -102,23 +103,24 @@ def _listed(classes: DataFrame, percent: int) -> DataFrame:
                  .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"),
                       F.sum("df").alias("weight"))
                  .filter(size >= needed))
-    return per_class.select("set_id", "weight",
+    return per_class.select("set_id", "weight", "n_shingles",
                             F.explode(F.slice("values", F.lit(1), size - needed + 1)).alias("v")) \
-        .select(F.col("v.value").alias("value"), "set_id", "weight")
+        .select(F.col("v.value").alias("value"), "set_id", "weight", "n_shingles")
 
 
 def _families(lists: DataFrame) -> DataFrame:
-    """(head, set_id, weight), each once: all classes listed with a head, itself included."""
+    """(head, set_id, weight, n_shingles), each once: all classes listed with a head, itself included."""
     heads = staged(lists.groupBy("value").agg(F.max(F.struct("weight", "set_id")).alias("head"),
                                               F.count(F.lit(1)).alias("n")).filter("n > 1")
                    .select("value", F.col("head.set_id").alias("head")), "heads")
-    return lists.join(heads, "value").select("head", "set_id", "weight").distinct()
+    return lists.join(heads, "value").select("head", "set_id", "weight", "n_shingles").distinct()
 
 
 def _blocks(families: DataFrame) -> DataFrame:
-    """A family in blocks of about BLOCK members; each pair of blocks is one group."""
-    counts = staged(families.groupBy("head").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "family-sizes")
+    """A family in blocks of about BLOCK members and BLOCK_SHINGLES shingles; each pair of
+    blocks is one group."""
+    counts = staged(families.groupBy("head").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "family-sizes")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     return (families.join(counts, "head").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

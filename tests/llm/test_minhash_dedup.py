@@ -1,6 +1,7 @@
 """Near duplicates against brute force over all pairs; nulls, blanks, ties, repeats, clashes."""
 
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from conftest_llm import prose
 
 from jobtide.llm import minhash_dedup as M
+from jobtide.llm.common import WordHashes, shingle_set
 
 
 def brute(rows, words, percent):
@@ -58,8 +60,9 @@ def family_rows():
 
 @pytest.mark.parametrize("words,percent,block", [(3, 85, 8), (5, 80, M.BLOCK)])
 def test_components_match_brute_force(documents, monkeypatch, words, percent, block):
-    """Families in one block and, with small blocks, in many."""
+    """Families in one block and, with small blocks, in many, by members or by shingles."""
     monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 3000 if block == M.BLOCK else 1 << 20)
     rows = family_rows()
     found = M.near_duplicates(documents(rows), words, percent)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr)
@@ -77,6 +80,26 @@ def test_one_document_of_each_group_stays(documents):
                           (False, 8, " "), (True, 0, prose(60, 4))])
 
 
+@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80)])
+def test_recall_of_true_links(spark, words, percent):
+    """Every id divisible by 50 of the given table against all its rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    component = {r.doc_id: r.component_id for r in M.near_duplicates(docs, words, percent).collect()}
+    hashes, sets, holders = WordHashes(), {}, defaultdict(list)
+    for r in docs.select("doc_id", "text").collect():
+        sets[r.doc_id] = shingle_set(hashes.of((r.text or "").encode().lower().split()), words)
+        for value in sets[r.doc_id].tolist():
+            holders[value].append(r.doc_id)
+    links = found = 0
+    for q in (i for i in sets if i % 50 == 0):
+        shared = Counter(x for value in sets[q].tolist() for x in holders[value])
+        for x, n in shared.items():
+            if x != q and 100 * n >= percent * (len(sets[q]) + len(sets[x]) - n):
+                links, found = links + 1, found + (component[x] == component[q])
+    print(f"\n{words} words, {percent} %: {found} of {links} links found")
+    assert links > 50 and found >= 0.9 * links
+
+
 def test_empty_table(documents):
     assert M.near_duplicates(documents([])).count() == 0
 
