@@ -210,6 +210,11 @@ SELECT count(*) + count(*) FILTER (k <= 2) AS received, count(*) FILTER (k <= 1)
        count(*) FILTER (k = 2) AS quarantined, count(*) AS written
 FROM (SELECT CAST(job_id AS BIGINT) % 50 AS k FROM jobs)""",
 
+    "stream_progress": _with(JOBS) + """
+SELECT count(*) + count(*) FILTER (k <= 2) AS input_rows, count(*) + count(*) FILTER (k <= 2) AS received,
+       count(*) FILTER (k <= 1) AS rejected, count(*) FILTER (k = 2) AS quarantined, count(*) AS written
+FROM (SELECT CAST(job_id AS BIGINT) % 50 AS k FROM jobs)""",
+
     "event_props": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 
     "publish_envelope": _with(JOBS, RECORDS) + """

@@ -358,6 +358,18 @@ def stream_ingest(spark, sf_dir):
     return _lake_out(cur)
 
 
+def stream_progress(spark, sf_dir):
+    """What the engine's reports say that an ingest stream of good and broken messages received,
+    rejected, quarantined and wrote; read back from the progress table."""
+    base = run_dir(spark, "stream_progress")
+    _messages(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(f"{base}/messages")
+    ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": str(STREAM_FILES_PER_TRIGGER)}, lake_path=f"{base}/lake",
+                     checkpoint=f"{base}/checkpoint", path=f"{base}/messages", progress_path=f"{base}/progress")
+    reports = ST.last_reports(ST.read_progress(spark, f"{base}/progress"))
+    return reports.agg(F.sum("input_rows").alias("input_rows"),
+                       *(F.sum(c).alias(c) for c in ("received", "rejected", "quarantined", "written")))
+
+
 def dedup_stream(spark, sf_dir, runs: int = STREAM_RUNS) -> DataFrame:
     """Accepted keys of the staged arrivals, which come in `runs` parts; the stream is run,
     and resumed from its checkpoint, after each."""
@@ -416,4 +428,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_skills": page_skills,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "stream_progress": stream_progress,
 }

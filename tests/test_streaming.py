@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobtide import operators as O
 from jobtide import streaming as ST
-from jobtide.streaming import dedup
+from jobtide.streaming import dedup, progress
 from test_ingest import STREAM_LINES
 
 
@@ -212,3 +212,33 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     assert time.time() - t0 < 60
     assert O.read_lake(spark, lake).count() == 3
     assert not [q for q in spark.streams.active]  # stopped on the way out
+
+
+def test_progress_table_has_a_row_per_batch(spark, tmp_dir):
+    src, lake, ckpt, path = (f"{tmp_dir}/{n}" for n in ("in", "lake", "ckpt", "progress"))
+    assert ST.read_progress(spark, path).count() == 0
+    write_lines(src, STREAM_LINES[:3], "a.json")
+    write_lines(src, STREAM_LINES[3:], "b.json")
+    quarantined = STREAM_LINES[0].replace('"source":"', '"source":"","x":"')
+    write_lines(src, [quarantined, STREAM_LINES[0]], "c.json")
+    counts = ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src, progress_path=path)
+    rows = ST.last_reports(ST.read_progress(spark, path)).orderBy("batch_id").collect()
+    assert [r.batch_id for r in rows] == [0, 1, 2]
+    for r, c in zip(rows, counts):
+        assert {k: r[k] for k in ("received", "rejected", "quarantined", "written")} == \
+            {k: c[k] for k in ("received", "rejected", "quarantined", "written")}
+        assert r.input_rows == r.received and r.took_ms >= 0 and r.state_rows == 0
+    assert sum(r.quarantined for r in rows) == sum(c["quarantined"] for c in counts)
+    # The stream resumes: the next batch is reported under its new run.
+    write_lines(src, [STREAM_LINES[0]], "d.json")
+    ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src, progress_path=path)
+    rows = ST.last_reports(ST.read_progress(spark, path)).collect()
+    assert sorted(r.batch_id for r in rows) == [0, 1, 2, 3] and len({r.run for r in rows}) == 2
+    assert len({r.stream for r in rows}) == 1
+
+
+def test_reports_of_any_source_become_rows():
+    report = {"batchId": 4, "timestamp": "2026-12-02T10:00:00.000Z", "numInputRows": 7, "id": "s", "runId": "r",
+              "batchDuration": 12, "sources": [{"metrics": {"maxOffsetsBehindLatest": "5"}}, {"metrics": None}, {}],
+              "stateOperators": [{"numRowsTotal": 3, "memoryUsedBytes": 10}, {"numRowsTotal": 4, "memoryUsedBytes": 1}]}
+    assert progress.progress_row(report) == (4, "2026-12-02T10:00:00.000Z", 7, 0.0, 12, 5, 7, 11, None, None, None, None, "s", "r")
