@@ -1,8 +1,8 @@
 """DataFrame -> DataFrame operators of the pipeline."""
 
 from .dedup import dedup_batch, drop_seen, merge_sources, seen_keys, with_dedup_key
-from .incremental import (DEFAULT_MARK, high_water_mark, incremental_load, mark_value,
-                          parquet_mart_sink, run_incremental)
+from .incremental import (DEFAULT_MARK, answered_by_footers, high_water_mark, incremental_load, mark_value,
+                          marked_mart_sink, parquet_mart_sink, run_incremental, stored_mark, stored_max)
 from .ingest import (all_records, decode_value, ingest_counts, parse_json, parse_records,
                      split_quarantine, to_lake_rows, with_row_count)
 from .keywords import doc_terms, tfidf, top_keywords
@@ -18,7 +18,7 @@ from .rollups import category_count, category_salary, count_by, location_count
 __all__ = [
     "dedup_batch", "drop_seen", "merge_sources", "seen_keys", "with_dedup_key",
     "DEFAULT_MARK", "high_water_mark", "incremental_load", "mark_value", "parquet_mart_sink",
-    "run_incremental",
+    "answered_by_footers", "marked_mart_sink", "run_incremental", "stored_mark", "stored_max",
     "all_records", "decode_value", "ingest_counts", "parse_json", "parse_records",
     "split_quarantine", "to_lake_rows",
     "with_row_count", "doc_terms", "tfidf", "top_keywords",

@@ -276,6 +276,8 @@ FROM (SELECT job_id, {key_sql('title', 'url')} AS dedup_key FROM jobs)""",
 
     "high_water_mark": HWM + "SELECT mark FROM hwm",
 
+    "stored_mark": HWM + "SELECT mark FROM hwm",
+
     "incremental_load": HWM.rstrip() + ",\n" + """
 new AS (SELECT * FROM lake WHERE scraped_at > (SELECT mark FROM hwm))
 SELECT job_id, source, title, scraped_at FROM new""",

@@ -197,6 +197,15 @@ def high_water_mark(spark, sf_dir):
     return O.high_water_mark(_mart_before_mark(spark, sf_dir))
 
 
+def stored_mark(spark, sf_dir):
+    """The same mark from the footers of the stored mart, which two loads have written."""
+    path = run_dir(spark, "stored_mark") + "/mart"
+    mart, early = _mart_before_mark(spark, sf_dir), F.col("posted_at") < F.lit("1995-01-01").cast("date")
+    for part in (mart.filter(early), mart.filter(~F.coalesce(early, F.lit(False)))):
+        O.marked_mart_sink(path)(part)
+    return O.stored_mark(spark, path)
+
+
 def incremental_load(spark, sf_dir):
     """Lake rows newer than the mart's high-water mark."""
     mark = O.mark_value(O.high_water_mark(_mart_before_mark(spark, sf_dir)))
@@ -409,6 +418,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stable_job_id": stable_job_id,
     "mart_clean": mart_clean,
     "high_water_mark": high_water_mark,
+    "stored_mark": stored_mark,
     "incremental_load": incremental_load,
     "incremental_mart": incremental_mart,
     "location_count": location_count,

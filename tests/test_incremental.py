@@ -61,3 +61,21 @@ def test_mart_schema(spark):
     from jobtide.schema import MART_SCHEMA
     mart = O.mart_clean(S.jobs_as_lake(S.jobs(spark, SF)))
     assert [(f.name, f.dataType) for f in mart.schema] == [(f.name, f.dataType) for f in MART_SCHEMA]
+
+
+def test_footers_answer_the_mark(spark, tmp_dir):
+    mart = O.mart_clean(S.jobs_as_lake(S.jobs(spark, SF)))
+    path, before = f"{tmp_dir}/mart", spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert O.mark_value(O.stored_mark(spark, path)) == dt.datetime(2000, 1, 1)
+    for part in (mart.limit(0), mart.withColumn("scraped_at", F.lit(None).cast("string"))):
+        O.marked_mart_sink(path)(part)
+        assert O.mark_value(O.stored_mark(spark, path)) == dt.datetime(2000, 1, 1)
+    O.marked_mart_sink(path)(mart.filter("category IS NULL"))
+    with O.answered_by_footers(spark):
+        plan = O.stored_max(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(_mark)]" in plan
+    assert O.stored_mark(spark, path).collect() == O.high_water_mark(mart.filter("category IS NULL")).collect()
+    O.marked_mart_sink(path)(mart)
+    assert O.stored_mark(spark, path).collect() == O.high_water_mark(mart).collect()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
