@@ -14,6 +14,7 @@ from .merge import merge_batch, merge_lake, merged_state, read_merged, upserted
 from .pages import cap_listing, cap_per_group, page_fields, page_postings, with_listing_position
 from .publish import publish_envelope
 from .rollups import category_count, category_salary, count_by, location_count
+from .seen import probed, read_seen, store_seen, unseen
 
 __all__ = [
     "dedup_batch", "drop_seen", "merge_sources", "seen_keys", "with_dedup_key",
@@ -25,6 +26,7 @@ __all__ = [
     "PARTITION_COLUMNS", "after", "file_system", "lake_current", "lake_layout", "latest_batch", "read_current",
     "read_lake", "read_or_empty", "run_of", "snapshot_current", "with_scraped_month",
     "write_lake_batch",
+    "probed", "read_seen", "store_seen", "unseen",
     "merge_batch", "merge_lake", "merged_state", "read_merged", "upserted",
     "NEGOTIABLE_PHRASES", "mart_clean", "negotiable_filter", "with_salary",
     "cap_listing", "cap_per_group", "page_fields", "page_postings", "with_listing_position",

@@ -307,6 +307,11 @@ SELECT n.job_id, n.dedup_key, n.scraped_at FROM k n
 WHERE n.scraped_at > {MARK}
   AND NOT EXISTS (SELECT 1 FROM k s WHERE s.scraped_at <= {MARK} AND s.dedup_key = n.dedup_key)""",
 
+    "seen_probe": _with(JOBS, LAKE, KEYED) + """
+SELECT n.job_id, n.dedup_key, n.scraped_at FROM k n
+WHERE n.day = (SELECT max(day) FROM k)
+  AND NOT EXISTS (SELECT 1 FROM k s WHERE s.day < n.day AND s.dedup_key = n.dedup_key)""",
+
     "merge_sources": _with(JOBS) + """
 SELECT job_id, source, title, url, company FROM jobs WHERE source IN ('VietnamWorks', 'Careerviet')""",
 

@@ -259,6 +259,15 @@ def dedup_against_seen(spark, sf_dir):
     return O.drop_seen(new, seen, keys=["dedup_key"]).select("job_id", "dedup_key", "scraped_at")
 
 
+def seen_probe(spark, sf_dir):
+    """The newest day's postings whose key is in no earlier day: a run probes the stored seen set."""
+    path, keyed = run_dir(spark, "seen_probe") + "/seen", _keyed(spark, sf_dir)
+    today = keyed.agg(F.max("day")).first()[0]
+    O.store_seen(keyed.filter(F.col("day") < F.lit(today)), path)
+    run = keyed.filter(F.col("day") == F.lit(today))
+    return O.unseen(spark, path, run).select("job_id", "dedup_key", "scraped_at")
+
+
 def merge_sources(spark, sf_dir):
     """Union by name of the two collectors' outputs (different column orders)."""
     rec = S.jobs_as_records(_jobs(spark, sf_dir))
@@ -426,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_batch": dedup_batch,
     "seen_keys_by_day": seen_keys_by_day,
     "dedup_against_seen": dedup_against_seen,
+    "seen_probe": seen_probe,
     "merge_sources": merge_sources,
     "lake_layout": lake_layout,
     "lake_current": lake_current,
