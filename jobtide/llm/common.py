@@ -27,9 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STAGED: list[str] = []  # folders that this process has named and not released
+
+
 def staged_path(spark: SparkSession, name: str) -> str:
     """A new folder on the storage that all executors share."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _STAGED.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _STAGED[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the staged folders of this process, once no result that reads them is needed any more;
+    returns how many there were."""
+    count = 0
+    while _STAGED:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        count += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return count
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from oracle_check import compare, duck_connect
 
 import corpus_pipeline
-from jobtide.llm.common import staged
+from jobtide.llm.common import release, staged
 from jobtide.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +54,14 @@ def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_staged_tables_can_be_released(spark):
+    import os
+
+    release(spark)
+    kept = staged(spark.range(5), "release-test")
+    assert kept.count() == 5
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and release(spark) == 1 and not os.path.exists(folder)
+    assert release(spark) == 0
