@@ -84,15 +84,15 @@ def parsed(text: str) -> Fingerprint:
 
 @lru_cache(1)
 def waits() -> list[bytes]:
-    """Per class and step: the steps until the pointer moves on, from a fixed table of bits."""
-    cells = np.arange(CLASSES * PERIOD, dtype=np.uint64) * MIX_A + SEED
-    bits = (mixed(cells) >> np.uint64(63)).astype(bool).reshape(CLASSES, PERIOD)
-    out = np.empty((CLASSES, 2 * PERIOD), np.int64)
-    wait = np.full(CLASSES, 255)
-    for j in range(2 * PERIOD - 1, -1, -1):  # twice round, as the table is read in a circle
-        wait = np.where(bits[:, j % PERIOD], 1, np.minimum(wait + 1, 255))
-        out[:, j] = wait
-    return [row.tobytes() for row in out[:, :PERIOD].astype(np.uint8)]
+    """Per class and step: the steps until the pointer moves on, from a fixed table of bits that
+    is read in a circle."""
+    steps_, out = np.arange(PERIOD), []
+    for c in range(CLASSES):
+        cells = np.arange(c * PERIOD, (c + 1) * PERIOD, dtype=np.uint64) * MIX_A + SEED
+        ones = np.flatnonzero(mixed(cells) >> np.uint64(63))
+        following = np.append(ones, ones[0] + PERIOD)[np.searchsorted(ones, steps_)]
+        out.append(np.minimum(following - steps_ + 1, 255).astype(np.uint8).tobytes())
+    return out
 
 
 def code_points(text: str) -> np.ndarray:
@@ -442,8 +442,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     classes = staged(rows.groupBy("text_md5").agg(F.min("doc_id").alias("first_id"), F.min("fingerprint").alias("fingerprint"))
                      .withColumn("member", F.monotonically_increasing_id()), "classes")
     roots = connected_components(near_links(docs, classes.filter("fingerprint != '0:'")), "a", "b")
-    labelled = classes.select("text_md5", "first_id", "member").join(
-        roots.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("near_id"))
+    # Both sides of each join are plain shuffles, which adaptive execution can split at a hot key.
+    labelled = staged(classes.select("text_md5", "first_id", "member").join(
+        roots.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member")), "labelled")
+    smallest = staged(labelled.groupBy("root").agg(F.min("first_id").alias("near_id")), "smallest")
     named = staged(labelled.join(smallest, "root").select("text_md5", "near_id"), "names")
     return rows.join(named, "text_md5").select(*rows.columns, "near_id")

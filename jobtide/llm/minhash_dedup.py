@@ -257,11 +257,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     rows = staged(sketched(docs, words), "sketches")
     roots = connected_components(near_links(docs, rows, words, percent), "a", "b")
-    labelled = (rows.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
-                .filter("set_id IS NOT NULL")
-                .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-                .withColumn("root", F.coalesce("root", "set_id")))
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("smallest"))
+    labelled = staged(rows.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
+                      .filter("set_id IS NOT NULL")
+                      .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+                      .withColumn("root", F.coalesce("root", "set_id")), "labelled")
+    smallest = staged(labelled.groupBy("root").agg(F.min("first_id").alias("smallest")), "smallest")
     named = staged(labelled.join(smallest, "root").select("set_id", "smallest"), "names")
     return (rows.drop("sketch").join(named, "set_id", "left")
             .select("doc_id", "text_md5", "n_shingles", "set_id",
