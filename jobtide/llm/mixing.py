@@ -133,7 +133,14 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     taken, passes, rest, shard): `start` is the place in the source's seeded stream, `shard`
     the shard of the mix that the row's first block goes to, null if none does.
     """
-    rows = staged(sized(docs).withColumn("bucket", F.substring("key", 1, 3)), "sizes")
+    return _mixed(_staged_sizes(docs), block)
+
+
+def _staged_sizes(docs: DataFrame) -> DataFrame:
+    return staged(sized(docs).withColumn("bucket", F.substring("key", 1, 3)), "sizes")
+
+
+def _mixed(rows: DataFrame, block: int) -> DataFrame:
     sources = staged(plan(rows, block), "mix-plan")
     by_bucket = rows.groupBy("name", "unnamed", "bucket").agg(F.sum("size").alias("words_in"))
     before = Window.partitionBy("name", "unnamed").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -160,7 +167,8 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     The order's last key that is taken decides per source, so texts are not
     shuffled: the sources are broadcast if there are at most MANY_SOURCES.
     """
-    cuts = staged(mixed(docs, block).groupBy("name", "unnamed").agg(
+    sizes = _staged_sizes(docs)
+    cuts = staged(_mixed(sizes, block).groupBy("name", "unnamed").agg(
         F.max("passes").alias("passes"),
         F.max(F.when((F.col("start") < F.col("rest")) & (F.col("size") > 0), F.col("key"))).alias("cut")),
         "mix-cuts").select(F.col("name").alias("__name"), F.col("unnamed").alias("__unnamed"),
@@ -169,19 +177,21 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     named = _named(docs.withColumn("__size", words())).select(
         *docs.columns, "__size", F.col("name").alias("__source"), F.col("unnamed").alias("__null"))
     times = F.col("__passes") + F.when(_key(F.col("__copy"), "__size") <= F.col("__cut"), 1).otherwise(0)
-    return (_numbered(named).join(cuts, (F.col("__source") == F.col("__name")) & (F.col("__null") == F.col("__unnamed")))
+    return (_numbered(named, sizes).join(cuts, (F.col("__source") == F.col("__name")) & (F.col("__null") == F.col("__unnamed")))
             .filter("__size > 0").withColumn("__times", times.cast("int")).filter("__times > 0")
             .withColumn("__time", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns))
 
 
-def _numbered(named: DataFrame) -> DataFrame:
+def _numbered(named: DataFrame, sizes: DataFrame) -> DataFrame:
     """The rows with `__copy`, the number that `sized` gives a repeated row.
 
-    Only rows that repeat are shuffled. They are numbered by a hash of the whole
-    row, within their input split, after the counts of what comes before.
+    The narrow `sizes` tell whether any row repeats. Only rows that repeat are
+    shuffled. They are numbered by a hash of the whole row, within their input
+    split, after the counts of what comes before.
     """
     key = ["__source", "__null", "doc_id", "__size"]
-    repeats = staged(named.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "mix-repeats")
+    repeats = staged(sizes.groupBy(*(F.col(c).alias(k) for c, k in zip(ROW, key)))
+                     .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "mix-repeats")
     if repeats.isEmpty():
         return named.withColumn("__copy", F.lit(1).cast("long"))
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
