@@ -19,4 +19,5 @@ def test_bench_contract():
     assert {"metric", "value", "unit", "queries", "sf"} <= set(res)
     assert res["unit"] == "sec" and res["sf"] == 0.001
     assert set(res["queries"]) == {"category_salary", "cap_per_group"}
+    assert set(res["cpu_seconds"]) in (set(), set(res["queries"]))
     assert res["rows"]["category_salary"] == 12 and "errors" not in res
