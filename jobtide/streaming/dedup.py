@@ -91,11 +91,11 @@ def opened_sets(ticks: DataFrame, known: DataFrame, seconds: int = EXPIRY_SECOND
     return by_day.select("at", "old").mapInArrow(run, "starts long, ends long, fresh boolean")
 
 
-def in_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """`rows` (with `at`) with the `starts` of the set that holds each."""
+def in_sets(rows: DataFrame, sets: DataFrame, number: int) -> DataFrame:
+    """`rows` (with `at`) with the `starts` of the set that holds each, out of `number` sets."""
     minutes = F.sequence(F.floor(F.col("starts") / MINUTE_MS), F.floor((F.col("ends") - 1) / MINUTE_MS))
     held = sets.select("starts", "ends", F.explode(minutes).alias("minute"))
-    held = F.broadcast(held) if sets.count() <= MANY_SETS else held
+    held = F.broadcast(held) if number <= MANY_SETS else held
     return rows.withColumn("minute", F.floor(F.col("at") / MINUTE_MS)).join(held, "minute") \
         .filter((F.col("at") >= F.col("starts")) & (F.col("at") < F.col("ends"))).drop("minute", "ends")
 
@@ -139,12 +139,15 @@ def accept_batch(batch: DataFrame, path: str, run: int, batch_id: int, seconds:
     ticks = rows.select("at").distinct()
     opened_sets(ticks, known, seconds).write.mode("overwrite").parquet(f"{path}/opened")
     sets = spark.read.schema("starts long, ends long, fresh boolean").parquet(f"{path}/opened")
-    found = first_arrivals(in_sets(with_dedup_key(rows, ts=None) if "dedup_key" not in rows.columns else rows, sets))
-    hours = sets.agg(F.min(set_hour(F.col("starts"))), F.max(set_hour(F.col("starts")))).first()
+    hour = set_hour(F.col("starts"))
+    number, *hours = sets.agg(F.count(F.lit(1)), F.min(hour), F.max(hour)).first()
+    keyed = rows if "dedup_key" in rows.columns else with_dedup_key(rows, ts=None)
+    found = first_arrivals(in_sets(keyed, sets, number))
     before = before_batch(spark, path, run, batch_id, *hours)
     new = found.join(before, ["set_hour", "set_start", "dedup_key"], "left_anti")
-    fresh = sets.filter("fresh").select("starts", set_hour(F.col("starts")).alias("set_hour"))
-    for name, table in (("keys", new), ("sets", fresh)):
+    fresh = sets.filter("fresh").select("starts", hour.alias("set_hour"))
+    # Sets first: a batch that dies in between leaves no accepted key in a set nobody knows.
+    for name, table in (("sets", fresh), ("keys", new)):
         (table.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS)
          .parquet(f"{path}/{name}"))
