@@ -63,16 +63,19 @@ def write_lake_batch(df: DataFrame, batch_id: int, lake_path: str, run: int = 0)
     Rows without a complete key (an empty source counts as none) go to
     `<lake>/_quarantine/run=R/batch_id=N`, which lake scans skip. They are
     counted during the write; only if there are any is the batch read again.
+    Where no row is left to write, adaptive execution drops the plan under the
+    empty shuffle, observed counts included, and the batch is counted by itself.
     Returns the counts `received`, `quarantined` and `written`.
     """
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("received"),
-                         F.count_if(~complete_key()).alias("quarantined"))
-    placed = (with_scraped_month(counted.filter(complete_key()))
+    seen, columns = Observation(), [F.count(F.lit(1)).alias("received"),
+                                    F.count_if(~complete_key()).alias("quarantined")]
+    folder = f"{lake_path}/run={run}/batch_id={batch_id}"
+    placed = (with_scraped_month(df.observe(seen, *columns).filter(complete_key()))
               .hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*storage_order()))
-    (placed.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS)
-     .parquet(f"{lake_path}/run={run}/batch_id={batch_id}"))
-    counts = dict(seen.get)
+    placed.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(folder)
+    files, make = file_system(df.sparkSession, folder)
+    any_row = any(s.isDirectory() for s in files.listStatus(make(folder)))
+    counts = dict(seen.get) if any_row else df.agg(*columns).first().asDict()
     if counts["quarantined"]:
         split_quarantine(df)[1].write.mode("overwrite") \
             .parquet(f"{lake_path}/_quarantine/run={run}/batch_id={batch_id}")

@@ -48,12 +48,14 @@ def lake_batch_writer(lake_path: str, counts: list | None = None, progress: Prog
             batch_df = batch_df.persist(StorageLevel.DISK_ONLY)
         seen = Observation()
         rows = batch_df.observe(seen, *count_columns()).filter(F.col("job_id").isNotNull())
-        write_lake_batch(rows, batch_id, lake_path, run_of(spark, lake_path, stream_id))
+        stored = write_lake_batch(rows, batch_id, lake_path, run_of(spark, lake_path, stream_id))
+        # A batch of rejects only has no observed counts (see `write_lake_batch`).
+        found = seen.get if stored["written"] else batch_df.agg(*count_columns()).first().asDict()
         if progress is not None:
             batch_df.unpersist()
         if counts is not None:
-            counts.append({"batch_id": batch_id, **seen.get})
-        log.info("lake batch %s written: %s", batch_id, seen.get)
+            counts.append({"batch_id": batch_id, **found})
+        log.info("lake batch %s written: %s", batch_id, found)
     return write
 
 

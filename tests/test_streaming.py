@@ -237,6 +237,28 @@ def test_progress_table_has_a_row_per_batch(spark, tmp_dir):
     assert len({r.stream for r in rows}) == 1
 
 
+@pytest.mark.parametrize("with_progress", [True, False])
+def test_a_batch_without_a_good_message_is_counted(spark, tmp_dir, with_progress):
+    """Batches of only rejects, only quarantined rows and nothing between good ones: counts are whole."""
+    src, lake, ckpt, path = (f"{tmp_dir}/{n}" for n in ("in", "lake", "ckpt", "progress"))
+    quarantined = STREAM_LINES[0].replace('"source":"', '"source":"","x":"')
+    batches = [[STREAM_LINES[0]], ['{"title": "no id"}', "{"], [quarantined, "{"], ["{"] * 3, [STREAM_LINES[0]]]
+    for k, lines in enumerate(batches):
+        write_lines(src, lines, f"{k}.json")
+        os.utime(f"{src}/{k}.json", (1_700_000_000 + 10 * k,) * 2)
+    counts = ST.stream_ingest(spark, "text", {"maxFilesPerTrigger": "1"}, lake, ckpt, path=src,
+                              progress_path=path if with_progress else None)
+    names = ("received", "rejected", "quarantined", "written")
+    want = [(1, 0, 0, 1), (2, 2, 0, 0), (2, 1, 1, 0), (3, 3, 0, 0), (1, 0, 0, 1)]
+    assert [tuple(c[n] for n in names) for c in counts] == want
+    assert O.read_lake(spark, lake).count() == 2
+    assert spark.read.parquet(f"{lake}/_quarantine/run=0/batch_id=2").count() == 1
+    if with_progress:
+        rows = ST.last_reports(ST.read_progress(spark, path)).orderBy("batch_id").collect()
+        assert [tuple(r[n] for n in names) for r in rows] == want
+        assert [r.input_rows for r in rows] == [w[0] for w in want]
+
+
 def test_reports_of_any_source_become_rows():
     report = {"batchId": 4, "timestamp": "2026-12-02T10:00:00.000Z", "numInputRows": 7, "id": "s", "runId": "r",
               "batchDuration": 12, "sources": [{"metrics": {"maxOffsetsBehindLatest": "5"}}, {"metrics": None}, {}],
