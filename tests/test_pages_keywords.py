@@ -81,6 +81,36 @@ def test_top_keywords_brute_force(spark):
     assert got == want
 
 
+def test_only_rare_terms_and_the_best_common_ones_are_shuffled_after_the_count(spark):
+    """Texts meet by document once; of terms that many documents have, k a document go on."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.lit("all"), *(F.concat(F.lit(f"t{j}x"), F.pmod(F.xxhash64("id", F.lit(j)), F.lit(20)).cast("string"))
+                             for j in range(30)), F.concat(F.lit("own"), F.col("id") % 3999)).alias("text")) \
+        .unionByName(spark.createDataFrame([(7, "all all t0x1"), (None, "own1"), (8000, "+ #"), (8001, None)],
+                                           "doc_id long, text string"))
+    out = O.top_keywords(docs, k=3)
+    got = {r.doc_id: r.keywords for r in out.collect()}
+    tokens = {}
+    for r in docs.collect():
+        tokens.setdefault(r.doc_id, []).extend(t for t in (r.text or "").split() if t.strip("+#"))
+    dfreq, n = Counter(t for ts in tokens.values() for t in set(ts)), docs.count()
+    assert got == {d: ", ".join(t for _, t in sorted((-round(c * math.log(n / dfreq[t]), 9), t)
+                                                     for t, c in Counter(ts).items())[:3]) for d, ts in tokens.items()}
+    out = O.top_keywords(docs, k=3)
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan()
+    def rows(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return rows(node.executedPlan())
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"):
+            return rows(node.plan())
+        below = [x for i in range(node.children().size()) for x in rows(node.children().apply(i))]
+        return below + ([node.metrics().apply("shuffleRecordsWritten").value()] if name == "Exchange" else [])
+    assert all(r <= 4 * docs.count() + 4 for r in rows(plan)), rows(plan)  # of 32 terms a document
+
+
 def test_keywords_cover_every_document(spark):
     docs = S.load_table(spark, SF, "documents")
     out = O.top_keywords(docs)
