@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,16 +70,20 @@ def opened_sets(ticks: DataFrame, known: DataFrame, seconds: int = EXPIRY_SECOND
         current = None  # [starts, ends, fresh]
         for batch in batches:
             out = []
-            for at, old in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                day_end = (at // DAY_MS + 1) * DAY_MS
-                if old:
-                    if current:
-                        out.append((current[0], min(current[1], at), current[2]))
-                    current = [at, min(at + span, day_end), False]
-                elif current is None or not current[0] <= at < current[1]:
-                    if current:
-                        out.append(tuple(current))
-                    current = [at, min(at + span, day_end), True]
+            times, old = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            olds, i = np.flatnonzero(old), 0
+            while i < len(times):
+                at = int(times[i])
+                if not old[i] and current and current[0] <= at < current[1]:
+                    # All that lies in the current set is passed over, up to the next known one.
+                    later = np.searchsorted(times, current[1])
+                    next_old = np.searchsorted(olds, i)
+                    i = min(later, olds[next_old]) if next_old < len(olds) else later
+                    continue
+                if current:
+                    out.append((current[0], min(current[1], at), current[2]))
+                current = [at, min(at + span, (at // DAY_MS + 1) * DAY_MS), not old[i]]
+                i += 1
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["starts", "ends", "fresh"])
         if current:
@@ -147,7 +152,9 @@ def accept_batch(batch: DataFrame, path: str, run: int, batch_id: int, seconds:
     new = found.join(before, ["set_hour", "set_start", "dedup_key"], "left_anti")
     fresh = sets.filter("fresh").select("starts", hour.alias("set_hour"))
     # Sets first: a batch that dies in between leaves no accepted key in a set nobody knows.
-    for name, table in (("sets", fresh), ("keys", new)):
+    # Rows meet by hour, so that a file holds as much of an hour as adaptive execution lets a
+    # task have: hours and tasks both grow with the batch, and a file of each would be as many as both multiplied.
+    for name, table in (("sets", fresh), ("keys", new.hint("rebalance", "set_hour"))):
         (table.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS)
          .parquet(f"{path}/{name}"))

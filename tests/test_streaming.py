@@ -184,6 +184,24 @@ def test_a_batch_reads_the_hours_of_its_sets_only(spark, tmp_dir):
     assert len(kept(spark, path)) == 1000
 
 
+def test_a_batch_writes_few_files_an_hour(spark, tmp_dir):
+    """Tasks and hours both grow with a batch; its files grow with the hours only."""
+    rows = spark.range(0, 40_000).select(F.timestamp_millis(F.col("id") * 9_000).alias("arrived_at"),
+                                         F.concat(F.lit("k"), "id").alias("dedup_key"), F.col("id").cast("string").alias("job_id"))
+    kept_apart = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}  # as in a batch with much for each task
+    before = {k: spark.conf.get(k) for k in kept_apart}
+    try:
+        for k, v in kept_apart.items():
+            spark.conf.set(k, v)
+        ST.accept_batch(rows, f"{tmp_dir}/sets", 0, 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = ST.accepted_keys(spark, f"{tmp_dir}/sets").groupBy("set_hour").agg(
+        F.count_distinct(F.input_file_name()).alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert len(files) == 100 and max(f.n for f in files) == 1 and sum(f.rows for f in files) == 40_000
+
+
 def test_whole_hours_of_old_sets_expire(spark, tmp_dir):
     path = f"{tmp_dir}/sets"
     assert ST.expire_sets(spark, path, dt.datetime(2030, 1, 1)) == []
